@@ -1,0 +1,45 @@
+"""Queries of the training-data operators and the SQL that some can be checked by."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from dugoutline.llm import formatting_copies, lookalikes, survivors
+from dugoutline.session import table
+
+
+def p3_found(spark, d):
+    comments = lookalikes.lookalike_rows(table(spark, d, "scout_comments"), "id", "comment")
+    names = lookalikes.lookalike_rows(table(spark, d, "player_candidates"), "id", "name")
+    return comments.select(F.lit("comment").alias("record_kind"), "record_id").unionByName(names.select(F.lit("candidate").alias("record_kind"), "record_id"))
+
+
+def p3_name_skeletons(spark, d):
+    return lookalikes.skeleton_groups(table(spark, d, "player_candidates"), "name").where("spellings > 1")
+
+
+def p5_found(spark, d):
+    return survivors.merged_fields(table(spark, d, "player_candidates"))
+
+
+def p7_found(spark, d):
+    return formatting_copies.formatting_pairs(table(spark, d, "scout_comments"))
+
+
+def p7_copies(spark, d):
+    return formatting_copies.distinct_comments(table(spark, d, "scout_comments")).select("first_id", "copies")
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_name_skeletons, p5_found, p7_found, p7_copies)}
+
+_ORDER = "(case when trim(player_id) <> '' then 0 else 1 end), (case status when 'promoted' then 1 when 'approved' then 2 when 'pending' then 3 when 'rejected' then 4 else 5 end), -coalesce(source_count, 0), created_at asc nulls last, id"
+_BLANK = {f: f"nullif(regexp_replace(cast({f} as varchar), '[\\s\\u3000]+', '', 'g'), '')" for f in survivors.FIELDS} | {"positions": "case when len(positions) > 0 then 'x' end"}
+ORACLE = {
+    "p5_found": f"""
+with g as (select *, row_number() over (partition by name, team order by {_ORDER}) as r, count(*) over (partition by name, team) as n
+           from player_candidates where name is not null and team is not null),
+k as (select name, team, id as keep_id from g where r = 1 and n > 1),
+f as ({" union all ".join(f"select name, team, '{f}' as field_name, arg_min(id, r) as from_id, min(r) as r from g where n > 1 and {_BLANK[f]} is not null group by name, team" for f in survivors.FIELDS)})
+select keep_id, 'id' as field_name, keep_id as from_id from k
+union all select k.keep_id, f.field_name, f.from_id from f join k using (name, team) where f.r > 1""",
+}
