@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dugoutline.llm import formatting_copies, lookalikes, survivors
+from dugoutline.llm import formatting_copies, leakage, lookalikes, packing, quality, survivors
 from dugoutline.session import table
 
 
@@ -30,7 +30,23 @@ def p7_copies(spark, d):
     return formatting_copies.distinct_comments(table(spark, d, "scout_comments")).select("first_id", "copies")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_name_skeletons, p5_found, p7_found, p7_copies)}
+def p8_containers(spark, d):
+    return packing.containers(table(spark, d, "documents"), packing.vocabulary())
+
+
+def p9_found(spark, d):
+    return leakage.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
+
+
+def p10_found(spark, d):
+    return quality.text_kinds(table(spark, d, "documents"), table(spark, d, "doc_labels")).where("not is_prose").select("doc_id")
+
+
+def p10_statistics(spark, d):
+    return quality.ratios(quality.text_statistics(table(spark, d, "documents"))).select("doc_id", "words", "lines", *quality.FEATURES, *quality.RULES)
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_name_skeletons, p5_found, p7_found, p7_copies, p8_containers, p9_found, p10_found, p10_statistics)}
 
 _ORDER = "(case when trim(player_id) <> '' then 0 else 1 end), (case status when 'promoted' then 1 when 'approved' then 2 when 'pending' then 3 when 'rejected' then 4 else 5 end), -coalesce(source_count, 0), created_at asc nulls last, id"
 _BLANK = {f: f"nullif(regexp_replace(cast({f} as varchar), '[\\s\\u3000]+', '', 'g'), '')" for f in survivors.FIELDS} | {"positions": "case when len(positions) > 0 then 'x' end"}
