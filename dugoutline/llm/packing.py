@@ -116,7 +116,7 @@ def pack_rows(rows: pd.DataFrame, capacity: int, per_source: int) -> pd.DataFram
     return rows
 
 
-def containers(documents: DataFrame, path: str, capacity: int = 4096, per_source: int = 3, shard_bins: int = 1000, full: float = 0.99) -> DataFrame:
+def containers(documents: DataFrame, path: str, capacity: int = 4096, per_source: int = 12, shard_bins: int = 1000, full: float = 0.99) -> DataFrame:
     """(container_id, doc_id, piece, first_token, tokens): every text in containers of ``capacity`` tokens.
 
     Only a text longer than a container is cut. No container holds two copies of a text, nor more than
