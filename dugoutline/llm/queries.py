@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dugoutline.llm import formatting_copies, leakage, lookalikes, packing, quality, survivors
+from dugoutline.llm import formatting_copies, leakage, lookalikes, near_duplicates, packing, quality, survivors
 from dugoutline.session import table
 
 
@@ -18,6 +18,14 @@ def p3_name_skeletons(spark, d):
     return lookalikes.skeleton_groups(table(spark, d, "player_candidates"), "name").where("spellings > 1")
 
 
+def p4_found(spark, d):
+    return near_duplicates.near_duplicate_pairs(table(spark, d, "crawled_articles"))
+
+
+def p4_stories(spark, d):
+    return near_duplicates.story_links(table(spark, d, "crawled_articles"))
+
+
 def p5_found(spark, d):
     return survivors.merged_fields(table(spark, d, "player_candidates"))
 
@@ -46,7 +54,7 @@ def p10_statistics(spark, d):
     return quality.ratios(quality.text_statistics(table(spark, d, "documents"))).select("doc_id", "words", "lines", *quality.FEATURES, *quality.RULES)
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_name_skeletons, p5_found, p7_found, p7_copies, p8_containers, p9_found, p10_found, p10_statistics)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_name_skeletons, p4_found, p4_stories, p5_found, p7_found, p7_copies, p8_containers, p9_found, p10_found, p10_statistics)}
 
 _ORDER = "(case when trim(player_id) <> '' then 0 else 1 end), (case status when 'promoted' then 1 when 'approved' then 2 when 'pending' then 3 when 'rejected' then 4 else 5 end), -coalesce(source_count, 0), created_at asc nulls last, id"
 _BLANK = {f: f"nullif(regexp_replace(cast({f} as varchar), '[\\s\\u3000]+', '', 'g'), '')" for f in survivors.FIELDS} | {"positions": "case when len(positions) > 0 then 'x' end"}
