@@ -1,0 +1,32 @@
+"""Connected components of an edge table."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from dugoutline.session import checkpointed
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, component): the least node that each node of ``edges`` is connected with.
+
+    Alternating large-star and small-star steps, each written to the shared checkpoint folder, until the
+    edges stay the same; the number of steps grows with the logarithm of the longest path.
+    """
+    now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
+    now, before = checkpointed(now), None
+    while True:
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").select("u", "v", "m")
+        now = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        now = checkpointed(now)
+        mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if mark == before:
+            break
+        before = mark
+    nodes = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return nodes.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).groupBy("node").agg(F.min("component").alias("component"))
