@@ -283,40 +283,39 @@ def average_linkage(pairs: list[tuple[str, str, float]], least: float) -> dict[s
 FIELDS = ("full", "parts", "reading", "own_reading", "surname_said", "initial", "nick", "kind", "team", *DETAILS)
 
 
-def packed(units: DataFrame, name: str) -> DataFrame:
-    return units.select(F.col("unit").alias(name), F.struct(*FIELDS, "written", "spoken", "place").alias(f"u{name}"))
+def _dot(x, y):
+    """Dot product of two sparse vectors."""
+    other = F.map_from_entries(y)
+    return F.aggregate(x, F.lit(0.0), lambda s, e: s + e["w"] * F.coalesce(F.try_element_at(other, e["g"]), F.lit(0.0)))
 
 
-def _dict(x) -> dict:
-    x = dict(x) if isinstance(x, dict) else x.asDict()
-    return x | {"parts": list(x["parts"]) if x["parts"] is not None else []}
+def scored(near: DataFrame, left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, score) of the candidate pairs whose cosine in the better view reaches ``threshold``."""
+    side = lambda df, s: df.select(*[F.col(c).alias(f"{s}_{c}") for c in ("unit", *FIELDS, "written", "spoken", "place")])
+    both = near.join(side(left, "a"), F.col("a") == F.col("a_unit")).join(side(right, "b"), F.col("b") == F.col("b_unit"))
+    best = F.greatest(*[F.coalesce(_dot(F.col(f"a_{v}"), F.col(f"b_{v}")), F.lit(0.0)) for v in ("written", "spoken")])
+    close = both.where(best * _dot(F.col("a_place"), F.col("b_place")) >= threshold)
+    lists = [F.array_join(f"{s}_parts", " ").alias(f"{s}_parts") if f == "parts" else F.col(f"{s}_{f}") for s in "ab" for f in FIELDS]
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = len(FIELDS)
+        for batch in batches:
+            out = []
+            for a, b, *v in batch.itertuples(index=False, name=None):
+                x, y = dict(zip(FIELDS, v[:n], strict=True)), dict(zip(FIELDS, v[n:], strict=True))
+                x["parts"], y["parts"] = (x["parts"] or "").split(), (y["parts"] or "").split()
+                out.append((a, b, pair_score(x, y)))
+            yield pd.DataFrame(out, columns=["a", "b", "score"])
 
-def cosine(a: dict, b: dict) -> float:
-    """Cosine of two units in the better view."""
-
-    def dot(x, y) -> float:
-        if x is None or y is None:
-            return 0.0
-        w = {e["g"]: e["w"] for e in y}
-        return sum(e["w"] * w.get(e["g"], 0.0) for e in x)
-
-    return max(dot(a["written"], b["written"]), dot(a["spoken"], b["spoken"])) * dot(a["place"], b["place"])
+    return close.select("a", "b", *lists).mapInPandas(run, "a string, b string, score double")
 
 
 def scored_pairs(units: DataFrame, threshold: float) -> DataFrame:
     """(a, b, score) of the unit pairs whose cosine reaches ``threshold``."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = [(a, b, pair_score(x, y)) for a, b, x, y in zip(batch["a"], batch["b"], map(_dict, batch["ua"]), map(_dict, batch["ub"]), strict=True) if cosine(x, y) >= threshold]
-            yield pd.DataFrame(out, columns=["a", "b", "score"])
-
-    near = cosine_candidates(units, None, threshold)
-    return near.join(packed(units, "a"), "a").join(packed(units, "b"), "b").mapInPandas(run, "a string, b string, score double")
+    return scored(cosine_candidates(units, None, threshold), units, units, threshold)
 
 
-def person_units(rows: DataFrame, threshold: float = 0.15, link: float = 0.55, mean: float = 0.45) -> tuple[DataFrame, DataFrame]:
+def person_units(rows: DataFrame, threshold: float = 0.2, link: float = 0.55, mean: float = 0.45) -> tuple[DataFrame, DataFrame]:
     """(unit rows with vectors, unit -> person). ``rows`` come from ``parsed``."""
     units = checkpointed(with_vectors(checkpointed(units_of(rows))))
     pairs = checkpointed(scored_pairs(units, threshold))
