@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dugoutline.llm import formatting_copies, leakage, lookalikes, near_duplicates, packing, people, quality, survivors
+from dugoutline.llm import formatting_copies, leakage, linkage, lookalikes, near_duplicates, packing, people, quality, survivors
 from dugoutline.session import table
 
 
@@ -12,6 +12,10 @@ def p1_found(spark, d):
     return people.person_pairs(table(spark, d, "player_candidates"))
 
 
+def p2_found(spark, d):
+    return linkage.matches(table(spark, d, "roster_entries"), table(spark, d, "player_candidates")).select("candidate_id", "entry_id")
+
+
 def p3_found(spark, d):
     comments = lookalikes.lookalike_rows(table(spark, d, "scout_comments"), "id", "comment")
     names = lookalikes.lookalike_rows(table(spark, d, "player_candidates"), "id", "name")
@@ -58,7 +62,7 @@ def p10_statistics(spark, d):
     return quality.ratios(quality.text_statistics(table(spark, d, "documents"))).select("doc_id", "words", "lines", *quality.FEATURES, *quality.RULES)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p3_found, p3_name_skeletons, p4_found, p4_stories, p5_found, p7_found, p7_copies, p8_containers, p9_found, p10_found, p10_statistics)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_name_skeletons, p4_found, p4_stories, p5_found, p7_found, p7_copies, p8_containers, p9_found, p10_found, p10_statistics)}
 
 _ORDER = "(case when trim(player_id) <> '' then 0 else 1 end), (case status when 'promoted' then 1 when 'approved' then 2 when 'pending' then 3 when 'rejected' then 4 else 5 end), -coalesce(source_count, 0), created_at asc nulls last, id"
 _BLANK = {f: f"nullif(regexp_replace(cast({f} as varchar), '[\\s\\u3000]+', '', 'g'), '')" for f in survivors.FIELDS} | {"positions": "case when len(positions) > 0 then 'x' end"}
