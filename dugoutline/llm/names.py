@@ -13,7 +13,7 @@ OLD_KANJI = str.maketrans(
 )
 HONORIFICS = r"(?:選手|投手|捕手|内野手|外野手|一塁手|二塁手|三塁手|遊撃手|主将|君|くん|さん|氏|様)"
 _TAIL = re.compile(rf"\s*(?:[（(][^）)]*[）)]|{HONORIFICS})\s*$")
-NICKNAME = re.compile(r"^(.*?)([ぁ-ゖァ-ヺー]+?)(?:ちゃん|っち|くん|チャン|ッチ|クン|やん|りん)$")
+NICKNAME = re.compile(r"^(.*?)([ぁ-ゖァ-ヺー]+?)(?:ちゃん|っち|くん|チャン|ッチ|クン|やん|りん|坊|ぽん|ちん)$")
 _ROMAN_INITIAL = re.compile(r"^(.*?)[\s,.・]*([A-Z])\.?$")
 TEAM_HEAD = re.compile(r"^(?:\(株\)|㈱|株式会社|有限会社|県立|都立|道立|府立|市立|町立|私立|国立)")
 TEAM_TAIL = re.compile(r"(?:株式会社|\(株\)|硬式野球部|軟式野球部|野球部|硬式|球団|クラブ|部|高等学校|高等部|高校|学校|大学校|大学|高|大|校)$")

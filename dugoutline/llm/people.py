@@ -70,13 +70,37 @@ def units_of(rows: DataFrame) -> DataFrame:
     short = (F.size("parts") == 1) & (F.length("full") == 4)
     sur = F.when(short, F.substring("full", 1, 2)).otherwise(F.get("parts", F.lit(0)))
     given = F.when(short, F.substring("full", 3, 2)).when(F.size("parts") > 1, F.get("parts", F.lit(1)))
+    letters = kanji_readings(rows)
     u = units.withColumn("_s", sur).withColumn("_g", given)
-    u = u.join(learned("surname_reading", 0).withColumnRenamed("_k", "_s"), "_s", "left").join(learned("given_reading", 1).withColumnRenamed("_k", "_g"), "_g", "left")
+    for part, at, key in (("surname_reading", 0, "_s"), ("given_reading", 1, "_g")):
+        u = u.join(learned(part, at).withColumnRenamed("_k", key), key, "left")
+        for place in (1, 2):
+            one = letters.where(F.col("place") == place).select(F.col("char").alias(f"_c{place}"), F.col("said").alias(f"_r{place}"))
+            u = u.withColumn(f"_c{place}", F.when(F.length(key) == 2, F.substring(F.col(key), place, 1))).join(F.broadcast(one), f"_c{place}", "left")
+        u = u.withColumn(f"_{part}", F.coalesce(f"_{part}", F.concat("_r1", "_r2"))).drop("_c1", "_c2", "_r1", "_r2")
     own = F.col("reading") != ""
     guess = F.when(F.col("_g").isNull() & (F.length("nick") > 0), F.concat("_surname_reading", "nick")).when(F.col("_g").isNull(), F.col("_surname_reading")).otherwise(F.concat("_surname_reading", "_given_reading"))
     return u.withColumn("own_reading", own).withColumn("reading", F.when(own, F.col("reading")).otherwise(F.coalesce(guess, F.lit("")))).withColumn("surname_said", F.coalesce("_surname_reading", F.lit(""))).drop("_s", "_g", "_surname_reading", "_given_reading")
 
 
+def kanji_readings(rows: DataFrame) -> DataFrame:
+    """(char, place, said): the likely reading of a kanji that is first or second of two.
+
+    Of the heads (tails) of the readings of all parts with it, the longest that nearly as many distinct parts
+    have as have the commonest one. The table has at most two rows per kanji there is, so it may be broadcast.
+    """
+    said = rows.select(F.explode(F.array(F.struct(F.get("parts", F.lit(0)).alias("part"), F.col("surname_reading").alias("r")), F.struct(F.get("parts", F.lit(1)).alias("part"), F.col("given_reading").alias("r")))).alias("x")).select("x.part", "x.r")
+    two = said.where("length(part) = 2 and length(r) between 2 and 8").distinct()
+    cut = two.select("part", "r", F.explode(F.sequence(F.lit(1), F.length("r") - 1)).alias("k"))
+    ends = cut.select(F.explode(F.array(
+        F.struct(F.substring("part", 1, 1).alias("char"), F.lit(1).alias("place"), F.expr("left(r, k)").alias("said"), F.col("part")),
+        F.struct(F.substring("part", 2, 1).alias("char"), F.lit(2).alias("place"), F.expr("right(r, k)").alias("said"), F.col("part")),
+    )).alias("x")).select("x.*").distinct()
+    n = ends.groupBy("char", "place", "said").agg(F.count("*").alias("n"))
+    best = n.withColumn("top", F.max("n").over(Window.partitionBy("char", "place"))).where("n >= 0.75 * top")
+    return best.groupBy("char", "place").agg(F.max_by("said", F.struct(F.length("said"), F.col("n"), F.col("said"))).alias("said"))
+
+
 def _grams(text, n: int):
     size = F.length(text)
     return F.array_distinct(F.when(size > n, F.transform(F.sequence(F.lit(1), size - (n - 1)), lambda i: F.substring(text, i, F.lit(n)))).when(size > 0, F.array(text)).otherwise(F.array().cast("array<string>")))
@@ -190,8 +214,9 @@ def name_score(a: dict, b: dict) -> float:
     if ra == rb:
         return 0.95
     pa, pb = list(a["parts"]), list(b["parts"])
-    if a["kind"] != "kanji" and len(pa) == 2 and pa[1] + pa[0] == rb or b["kind"] != "kanji" and len(pb) == 2 and pb[1] + pb[0] == ra:
-        return 0.9
+    for own, parts, other in ((a, pa, rb), (b, pb, ra)):
+        if own["kind"] != "kanji" and len(parts) == 2 and (d := edits(parts[1] + parts[0], other, 2)) <= (2 if len(other) >= 7 else 0):
+            return 0.9 if d == 0 else 0.7
     if apart == 1 or (apart == 2 and min(len(ra), len(rb)) >= 6) or (apart == 3 and min(len(ra), len(rb)) >= 9):
         return 0.8 if apart == 1 else 0.65
     if _prefix(ra, rb, 4):
