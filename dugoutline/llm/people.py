@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dugoutline.llm.components import components
+from dugoutline.operators.graph import components
 from dugoutline.llm.names import edits, parse_name, reading_of, same_team, short_vowels, team_key
 from dugoutline.session import checkpointed
 
@@ -344,7 +344,7 @@ def person_units(rows: DataFrame, threshold: float = 0.2, link: float = 0.55, me
     """(unit rows with vectors, unit -> person). ``rows`` come from ``parsed``."""
     units = checkpointed(with_vectors(checkpointed(units_of(rows))))
     pairs = checkpointed(scored_pairs(units, threshold))
-    parts = components(pairs.where(F.col("score") >= link))
+    parts = components(pairs.where(F.col("score") >= link), "a", "b")
     inside = pairs.join(parts.select(F.col("node").alias("a"), "component"), "a").join(parts.select(F.col("node").alias("b"), F.col("component").alias("_c")), "b").where("component = _c")
 
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
