@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from dugoutline.functions import values as V
 
 #: White space as the domain's texts have it, spelt out because regex engines differ.
-SPACE = r"[\t\n\x0b\f\r\x1c-\x20\x85   -     　]"
+SPACE = r"[\t\n\x0b\f\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _WIDE = "０１２３４５６７８９"
 
 
