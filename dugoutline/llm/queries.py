@@ -65,7 +65,7 @@ def p10_statistics(spark, d):
 QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_name_skeletons, p4_found, p4_stories, p5_found, p7_found, p7_copies, p8_containers, p9_found, p10_found, p10_statistics)}
 
 _ORDER = "(case when trim(player_id) <> '' then 0 else 1 end), (case status when 'promoted' then 1 when 'approved' then 2 when 'pending' then 3 when 'rejected' then 4 else 5 end), -coalesce(source_count, 0), created_at asc nulls last, id"
-_BLANK = {f: f"nullif(regexp_replace(cast({f} as varchar), '[\\s\\u3000]+', '', 'g'), '')" for f in survivors.FIELDS} | {"positions": "case when len(positions) > 0 then 'x' end"}
+_BLANK = {f: f"nullif(regexp_replace(cast({f} as varchar), '[\\s\\x{{3000}}]+', '', 'g'), '')" for f in survivors.FIELDS} | {"positions": "case when len(positions) > 0 then 'x' end"}
 ORACLE = {
     "p5_found": f"""
 with g as (select *, row_number() over (partition by name, team order by {_ORDER}) as r, count(*) over (partition by name, team) as n
