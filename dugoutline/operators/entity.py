@@ -71,7 +71,8 @@ def suggestions(entries: DataFrame, players: DataFrame, limit: int = 3) -> DataF
         for x in batches:
             r = pd.Series([ratio(a, b) for a, b in zip(x["e_name"], x["p_name"], strict=True)], index=x.index, dtype=float)
             keep = r >= x["bound"]
-            yield pd.DataFrame({"entry_id": x["entry_id"][keep], "player_id": x["player_id"][keep], "similarity": r[keep].round(2), "same_school": x["same_school"][keep]})
+            got = x[keep]
+            yield pd.DataFrame({"entry_id": list(got["entry_id"]), "player_id": pd.Series(list(got["player_id"]), dtype=object), "similarity": list(r[keep].round(2)), "same_school": list(got["same_school"])})
 
     kind = dict(entries.dtypes)["entry_id"]
     scored = near.mapInPandas(run, f"entry_id {kind}, player_id string, similarity double, same_school boolean")
