@@ -24,7 +24,7 @@ _QUOTES = "[「」『』【】\"'“”‘’<>()\\[\\]]"
 def _squeezed(text: Column) -> Column:
     marked = F.regexp_replace(F.regexp_replace(text, _SIGN_KEPT, "\u0001$0"), r"(?<=[0-9])\.(?=[0-9])", "\u0002")
     bare = F.regexp_replace(marked, "(?<!\u0001)[^\\p{L}\\p{N}\\p{M}%\u0001\u0002]", "")
-    return F.translate(bare, "\u0001\u0002", ".").cast("string")
+    return F.translate(bare, "\u0002\u0001", ".")
 
 
 def canonical_comment(text: Column) -> Column:
@@ -98,9 +98,10 @@ class Trie:
                     stack.append((prefix + label, below))
 
 
-def _emit(trie: Trie, bucket: bytes | None = None) -> pd.DataFrame:
-    rows = list(trie.items())
-    return pd.DataFrame({"key": [r[0] for r in rows], "n": [r[1] for r in rows], "first_id": [r[2] for r in rows]})
+def _emit(*tries: Trie) -> pd.DataFrame:
+    rows = [r for t in tries for r in t.items()]
+    # plain objects: Arrow-backed strings may come in several pieces, which the writer doesn't take
+    return pd.DataFrame({c: pd.Series([r[i] for r in rows], dtype=object) for i, c in enumerate(("key", "n", "first_id"))})
 
 
 def _combine(flush: int):
@@ -111,29 +112,26 @@ def _combine(flush: int):
         for b in batches:
             for key, n, first in zip(b["key"], b["n"], b["first_id"], strict=True):
                 trie.add(bytes(key), int(n), first)
-            if trie.terminals >= flush:
-                yield _emit(trie)
-                trie = Trie()
+                if trie.terminals >= flush:
+                    yield _emit(trie)
+                    trie = Trie()
         yield _emit(trie)
 
     return run
 
 
 def _count_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One trie per bucket; rows come sorted by bucket, so only one trie is held."""
+    """One trie per bucket; rows come sorted by bucket, so only the tries of a batch's buckets are held."""
     trie, now = Trie(), None
     for b in batches:
         done = []
         for bucket, key, n, first in zip(b["bucket"], b["key"], b["n"], b["first_id"], strict=True):
             if bucket != now:
-                if now is not None:
-                    done.append(_emit(trie))
+                done.append(trie)
                 trie, now = Trie(), bucket
             trie.add(bytes(key), int(n), first)
-        if done:
-            yield pd.concat(done)
-    if now is not None:
-        yield _emit(trie)
+        yield _emit(*done)
+    yield _emit(trie)
 
 
 def radix_buckets(keys: DataFrame, fits: int, step: int = 2, levels: int = 64) -> DataFrame:

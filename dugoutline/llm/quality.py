@@ -102,7 +102,7 @@ def chunk_counts(before: list[str], cores: list[str], after: list[str]) -> pd.Da
     known = _COMMON[np.minimum(np.searchsorted(_COMMON, code), len(_COMMON) - 1)] == code
     at = chunk_of(w0)
     out["words"] = np.bincount(at, minlength=k)
-    out["letters_in_words"] = np.bincount(at, weights=w1 - w0, minlength=k).astype(np.int64)
+    out["letters_in_words"] = out["latin"]
     out["common"] = np.bincount(at, weights=known & (w1 - w0 <= 6), minlength=k).astype(np.int64)
     change = np.diff(np.concatenate([[0], run.astype(np.int8), [0]]))
     r0, r1 = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
