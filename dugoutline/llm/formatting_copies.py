@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dugoutline.session import checkpointed
+
 #: Signs that rate (B+, B-) stay; a point inside a number stays; all other signs and space go.
 _SIGN_KEPT = r"(?<=[\p{L}\p{N}])[+\-](?![\p{L}\p{N}])"
 _ENTRY_ENDS = r"[、,;/|。\n]+|(?<![0-9])\.|\.(?![0-9])"
@@ -27,16 +29,18 @@ def _squeezed(text: Column) -> Column:
     return F.translate(bare, "\u0002\u0001", ".")
 
 
-def canonical_comment(text: Column) -> Column:
-    """Lower case letters, digits and rating signs; the entries of a rating list in sorted order.
+def with_canonical(df: DataFrame, comment: str = "comment", out: str = "canonical") -> DataFrame:
+    """``df`` with the canonical comment: lower case letters, digits and rating signs; the entries of a rating list
+    in sorted order. Null stays null; a text without letters or digits gives an empty string.
 
-    Null stays null; a text without letters or digits gives an empty string.
+    The steps are columns of their own, so that each is computed once.
     """
-    low = F.lower(text)
-    entries = F.filter(F.split(F.regexp_replace(low, _QUOTES, ""), _ENTRY_ENDS), lambda e: F.trim(e) != "")
-    is_list = (F.size(entries) >= 2) & F.forall(entries, lambda e: e.rlike(_ENTRY))
+    low, entries, is_list = F.col("_low"), F.col("_entries"), F.col("_is_list")
     tidy = F.transform(entries, lambda e: F.concat_ws("=", *[_squeezed(F.regexp_extract(e, r"^\s*([^\s:=・、]{1,20}?)\s*[:=・\s]\s*(\S+)\s*$", k)) for k in (1, 2)]))
-    return F.when(is_list, F.concat(F.lit("\u0003"), F.array_join(F.array_sort(tidy), ";"))).otherwise(_squeezed(low))
+    steps = df.withColumn("_low", F.lower(comment)).withColumn("_entries", F.filter(F.split(F.regexp_replace(low, _QUOTES, ""), _ENTRY_ENDS), lambda e: F.trim(e) != ""))
+    steps = steps.withColumn("_is_list", (F.size(entries) >= 2) & F.forall(entries, lambda e: e.rlike(_ENTRY)))
+    text = F.when(is_list, F.concat(F.lit("\u0003"), F.array_join(F.array_sort(tidy), ";"))).otherwise(_squeezed(low))
+    return steps.withColumn(out, text).drop("_low", "_entries", "_is_list")
 
 
 class Trie:
@@ -162,45 +166,46 @@ def radix_buckets(keys: DataFrame, fits: int, step: int = 2, levels: int = 64) -
     return keys.withColumn("bucket", bucket)
 
 
-def collapse(df: DataFrame, id_col: str, key: Column, fits: int = 200_000, flush: int = 50_000) -> DataFrame:
-    """One row per distinct key: (key, copies, first_id).
+def collapse(keys: DataFrame, fits: int = 200_000, flush: int = 50_000) -> DataFrame:
+    """One row per distinct key of ``keys`` (id string, key binary): (key, copies, first_id).
 
-    ``key`` is text; rows with a null key are left out. ``fits`` bounds a bucket's rows, ``flush`` the keys
-    held while collapsing a partition. Repeated rows count as copies; an empty table gives no row.
+    Rows with a null or empty key are left out. ``fits`` bounds a bucket's rows, ``flush`` the keys held while
+    collapsing a partition. Repeated rows count as copies; an empty table gives no row.
     """
     schema = "key binary, n bigint, first_id string"
-    rows = df.select(F.encode(key, "UTF-8").alias("key"), F.lit(1).cast("bigint").alias("n"), F.col(id_col).cast("string").alias("first_id")).where("key is not null and first_id is not null and length(key) > 0")
-    partial = rows.mapInPandas(_combine(flush), schema)
+    rows = keys.where("key is not null and id is not null and length(key) > 0").select("key", F.lit(1).cast("bigint").alias("n"), F.col("id").alias("first_id"))
+    partial = checkpointed(rows.mapInPandas(_combine(flush), schema))
     bucketed = radix_buckets(partial, fits)
     counted = bucketed.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(_count_buckets, schema)
     return counted.withColumnRenamed("n", "copies")
 
 
-def player_of(df: DataFrame) -> Column:
+def player_of() -> Column:
     """Reference of a comment's player; the kind of reference is part of it."""
     some = lambda c: F.when(F.trim(c) != "", F.col(c))
     return F.coalesce(F.concat(F.lit("p:"), some("player_id")), F.concat(F.lit("c:"), some("player_candidate_id")), F.concat(F.lit("n:"), some("player_name")))
 
 
-def comment_key(df: DataFrame) -> Column:
-    """Player and canonical comment; null without a player or without letters in the comment."""
-    text = canonical_comment(F.col("comment"))
-    return F.when(F.length(text) > 0, F.concat_ws("\u0000", player_of(df), text)).otherwise(F.lit(None)) if df is not None else text
+def comment_keys(comments: DataFrame) -> DataFrame:
+    """(id, key): player and canonical comment as bytes; rows without a player, or without letters in the comment,
+    are left out."""
+    own = comments.select(F.col("id").cast("string").alias("id"), player_of().alias("player"), "comment").where("player is not null and comment is not null")
+    text = with_canonical(own).where("canonical <> ''")
+    return checkpointed(text.select("id", F.encode(F.concat_ws("\u0000", "player", "canonical"), "UTF-8").alias("key")))
 
 
 def distinct_comments(comments: DataFrame, **limits: int) -> DataFrame:
     """One record per evaluation of a player: (first_id, copies)."""
-    own = comments.where(player_of(comments).isNotNull() & F.col("comment").isNotNull())
-    return collapse(own, "id", comment_key(own), **limits)
+    return collapse(comment_keys(comments), **limits).select("first_id", "copies")
 
 
 def formatting_pairs(comments: DataFrame, **limits: int) -> DataFrame:
     """Every pair (id_a < id_b) of one player's comments that differ in formatting only, exact copies included.
 
-    The records that have copies come from ``distinct_comments``; their rows are found again by digest.
+    The records that have copies come from ``collapse``; their rows are found again by digest.
     """
-    own = comments.where(player_of(comments).isNotNull() & F.col("comment").isNotNull())
-    classes = collapse(own, "id", comment_key(own), **limits).where("copies > 1").select(F.sha2("key", 256).alias("digest"))
-    members = own.select("id", F.sha2(F.encode(comment_key(own), "UTF-8"), 256).alias("digest")).join(classes, "digest", "left_semi")
+    keys = comment_keys(comments)
+    classes = collapse(keys, **limits).where("copies > 1").select(F.sha2("key", 256).alias("digest"))
+    members = keys.select("id", F.sha2("key", 256).alias("digest")).join(classes, "digest", "left_semi")
     a, b = members.withColumnRenamed("id", "id_a"), members.withColumnRenamed("id", "id_b")
     return a.join(b, "digest").where("id_a < id_b").select("id_a", "id_b").distinct()
