@@ -167,7 +167,7 @@ def source_priority(source: Column, table: dict[str, int] | None = None) -> Colu
 
 def rank_label(code: Column) -> Column:
     """Letter of a rank code 90..30 in tens, else a dash."""
-    return F.coalesce(looked_up({90 - 10 * i: c for i, c in enumerate("SABCDEF")}, code), F.lit("-"))
+    return F.coalesce(looked_up({90 - 10 * i: c for i, c in enumerate("SABCDEF")}, code), F.lit("—"))
 
 
 def content_md5(title: Column, body: Column) -> Column:
@@ -211,3 +211,56 @@ def contains_any(text: Column, words: tuple[str, ...]) -> Column:
     for w in words:
         hit = hit | text.contains(w)
     return F.coalesce(hit, F.lit(False))
+
+
+def spaced_name(name: Column) -> Column:
+    """Name with single half-width spaces; '' for null."""
+    return F.coalesce(strip(F.regexp_replace(name, f"{SPACE}+", " ")), F.lit(""))
+
+
+def name_variations(name: Column) -> Column:
+    """The name, the name without spaces, and a name without one with a space at every place; each once, sorted."""
+    n = spaced_name(name)
+    bare = F.replace(n, F.lit(" "), F.lit(""))
+    size = F.length(n)
+    split = F.when((n == bare) & (size >= 2), F.transform(F.sequence(F.lit(1), size - 1), lambda i: F.concat(F.substring(n, F.lit(1), i), F.lit(" "), F.substring(n, i + 1, size)))).otherwise(F.array().cast("array<string>"))
+    return F.array_sort(F.array_distinct(F.concat(F.array(n, bare), split)))
+
+
+def federation_label(affiliation: Column) -> Column:
+    """Federation without its generic ending; a dash for null and blank."""
+    given = F.nullif(affiliation, F.lit(""))
+    return F.coalesce(F.nullif(F.regexp_replace(given, "(?:野球)?連盟$", ""), F.lit("")), given, F.lit("—"))
+
+
+def known_club(key: Column, clubs: tuple[str, ...], aliases: dict[str, str] | None = None) -> Column:
+    """Key of a club in lower case, aliases resolved; null for keys that aren't among the clubs."""
+    k = F.lower(strip(key))
+    k = F.coalesce(looked_up(aliases, k), k) if aliases else k
+    return F.when(k.isin(*clubs), k)
+
+
+def entry_key(category: Column, name: Column, school: Column) -> Column:
+    return F.concat_ws("|", F.coalesce(category, F.lit("")), name_key(name), school_match_key(school))
+
+
+def article_url(url: Column, site: str, path: str = "/articles/") -> Column:
+    """Whether a URL is an article of the site; False for null."""
+    return F.coalesce(url.startswith(site) & url.contains(path), F.lit(False))
+
+
+def placeholder_title(kind: Column, player: Column, teams: Column, persons: Column, title: Column) -> Column:
+    """Title of a topic until it is written about."""
+    crowd = F.when((F.coalesce(teams, F.lit(0)) > 0) | (F.coalesce(persons, F.lit(0)) > 0), F.concat(player, F.lit("にスカウト視察集中（"), F.coalesce(teams, F.lit(0)).cast("string"), F.lit("球団"), F.coalesce(persons, F.lit(0)).cast("string"), F.lit("人）"))).otherwise(F.concat(player, F.lit("にスカウトの注目集まる")))
+    named = (kind == "player_watch") & (F.coalesce(player, F.lit("")) != "")
+    return F.when(named, crowd).when(kind == "scout_meeting", F.lit("スカウト会議・編成動向まとめ")).otherwise(F.coalesce(F.nullif(title, F.lit("")), F.lit("ドラフト関連トピック")))
+
+
+def checked_keys(markdown: Column) -> Column:
+    """Keys of the ticked lines of a checklist."""
+    return F.coalesce(F.array_distinct(F.regexp_extract_all(markdown, F.lit(r"(?i)- \[x\][^\n]*<!--k:([^>]+?)-->"), F.lit(1))), F.array().cast("array<string>"))
+
+
+def in_season(day: Column, until: str) -> Column:
+    """Whether a day's month and day are no later than ``until`` (MM-dd)."""
+    return F.date_format(day, "MM-dd") <= F.lit(until)

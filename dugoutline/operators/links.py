@@ -82,3 +82,28 @@ def representative_per_pair(comments: DataFrame, ref: Column, team: Column) -> D
     rows = comments.select(ref.alias("ref"), team.alias("team"), "id", "source_url", "published_at").where("ref is not null and team is not null")
     rank = F.struct(F.coalesce(F.col("source_url"), F.lit("")) != "", F.coalesce(F.col("published_at"), F.lit("")), F.col("id"))
     return rows.groupBy("ref", "team").agg(F.max_by("id", rank).alias("id"))
+
+
+def event_dates(items: DataFrame, visits: DataFrame) -> DataFrame:
+    """Items (id, url, player, published) with ``event_date``: the first dated visit of their URL and player, else
+    the day they were published."""
+    known = visits.where("event_date is not null").groupBy("url", "player").agg(F.min_by("event_date", F.struct("seq")).alias("_visit"))
+    return items.join(known, ["url", "player"], "left").select(*items.columns, F.coalesce("_visit", "published").alias("event_date"))
+
+
+def missing_pairs(wanted: DataFrame, stored: DataFrame, a: str, b: str) -> DataFrame:
+    """Distinct pairs not stored yet."""
+    return wanted.select(a, b).where(F.col(a).isNotNull() & F.col(b).isNotNull()).distinct().join(stored.select(a, b).distinct(), [a, b], "left_anti")
+
+
+def declared(players: DataFrame, matched: DataFrame) -> DataFrame:
+    """Players with ``declared`` set for those matched (player_id)."""
+    hit = matched.select(F.col("player_id").alias("id"), F.lit(True).alias("_hit")).where("id is not null").distinct()
+    return players.join(hit, "id", "left").withColumn("declared", F.coalesce("_hit", "declared", F.lit(False))).drop("_hit")
+
+
+def backfilled(children: DataFrame, sources: DataFrame) -> DataFrame:
+    """Unlinked children with the least candidate of their URL."""
+    best = sources.where("url is not null").groupBy("url").agg(F.min("candidate_id").alias("_c"))
+    free = F.col("player_id").isNull() & F.col("player_candidate_id").isNull()
+    return children.join(best, children["source_url"] == best["url"], "left").select(*[F.when(free, F.col("_c")).otherwise(F.col(c)).alias(c) if c == "player_candidate_id" else children[c] for c in children.columns])

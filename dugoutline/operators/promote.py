@@ -44,3 +44,16 @@ def merged_by_priority(values: DataFrame, order: dict[str, int]) -> DataFrame:
     """(ref, field, value, source): the value of the best source of each field; unknown sources come last."""
     rank = F.struct(F.coalesce(T.looked_up(order, F.col("source")), F.lit(1000)).alias("r"), F.col("source").alias("s"), F.col("value").alias("v"))
     return values.where("value is not null").groupBy("ref", "field").agg(F.min_by("value", rank).alias("value"), F.min_by("source", rank).alias("source"))
+
+
+#: Steps of a candidate's research that may follow each other.
+STEPS = {"none": ("queued",), "queued": ("researching", "failed"), "researching": ("ready", "failed"), "ready": ("committed", "failed"), "failed": ("queued",), "committed": ()}
+
+
+def stepped(current: DataFrame, wanted: DataFrame, steps: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """(id, status, accepted): the wanted status where it may follow the current one, else the current one."""
+    allowed = [F.concat(F.lit(a), F.lit(">"), F.lit(b)) for a, bs in (steps or STEPS).items() for b in bs]
+    both = current.join(wanted.select("id", F.col("status").alias("_w")), "id", "left")
+    move = F.concat("status", F.lit(">"), "_w")
+    ok = F.coalesce(move.isin(*allowed), F.lit(False))
+    return both.select("id", F.when(ok, F.col("_w")).otherwise(F.col("status")).alias("status"), ok.alias("accepted"))

@@ -137,7 +137,7 @@ def candidate_codes(spark, d):
     return A.candidates(spark, d).select("id", T.category_of(F.col("category")).alias("category_name"), F.array_join(T.positions_of(F.col("positions")), ",").alias("position_names"), T.throws_of(F.col("throws")).alias("throw_hand"), T.bats_of(F.col("bats")).alias("bat_hand"))
 
 
-@query(f"select id, {S.case('rank_code', {90 - 10 * i: c for i, c in enumerate('SABCDEF')}, chr(39) + '-' + chr(39))} as rank_letter, array_to_string(positions, '・') as position_label, '[' || name || '](/players/' || id || ')' as link from players")
+@query(f"select id, {S.case('rank_code', {90 - 10 * i: c for i, c in enumerate('SABCDEF')}, chr(39) + '—' + chr(39))} as rank_letter, array_to_string(positions, '・') as position_label, '[' || name || '](/players/' || id || ')' as link from players")
 def player_labels(spark, d):
     return table(spark, d, "players").select("id", T.rank_label(F.col("rank_code")).alias("rank_letter"), F.array_join("positions", "・").alias("position_label"), F.concat(F.lit("["), "name", F.lit("](/players/"), "id", F.lit(")")).alias("link"))
 
@@ -601,3 +601,129 @@ def pending_candidates(spark, d):
 def newest_per_key(spark, d):
     e = table(spark, d, "events").select(F.col("event_type").alias("topic_type"), F.col("user_id").alias("player"), F.col("event_id").alias("signal_id"), "ts")
     return dedup.newest(e, ["topic_type", "player"], [F.desc("ts"), F.desc("signal_id")], 20).select("topic_type", "player", "signal_id")
+
+
+# --- further queries --------------------------------------------------------------------------------------
+
+
+@query()
+def timeline_full(spark, d):
+    """All five kinds of items: candidate and registered-player news, comments, attention, profile pages."""
+    art = A.articles(spark, d).select(F.col("id").alias("article_id"), "url", "title", "source", "category")
+    ev = A.evidence(spark, d)
+    told = ev.join(art.select(F.col("article_id").alias("_a"), "title", "source", "category"), F.col("article_id") == F.col("_a"), "left")
+    common = {"crawled_article_id": F.col("article_id"), "source_url": F.col("url"), "title": F.col("title"), "source": F.col("source"), "category": F.col("category"), "body": F.col("name"), "confidence": F.col("confidence"), "created_at": F.col("created_at"), "player_id": F.col("player_id")}
+    news = timeline.branch(told.where("player_id is null"), "candidate", player_candidate_id=F.col("candidate_id"), **common).unionByName(timeline.branch(told.where("player_id is not null"), "player_article", **common))
+    person = ev.where("article_id is not null").groupBy("article_id").agg(F.min_by(F.struct("player_id", "candidate_id"), F.struct(F.col("player_id").isNull(), F.col("created_at"), F.col("id"))).alias("_p"))
+    seen = _attention(spark, d).join(art, F.col("id") == F.col("article_id")).drop("id").join(person, "article_id")
+    attention = timeline.branch(seen, "attention", player_id=F.col("_p.player_id"), player_candidate_id=F.col("_p.candidate_id"), crawled_article_id=F.col("article_id"), source_url=F.col("url"), title=F.col("title"), source=F.col("source"), category=F.col("category"), body=F.col("sentence"), score=F.col("score"))
+    pages = timeline.branch(table(spark, d, "players"), "draft_watch_article", player_id=F.col("id"), title=F.col("name"), source=F.lit("profile"), category=F.col("category"), created_at=F.col("created_at"))
+    quoted = _timeline(spark, d).where("item_type = 'scout_comment'")
+    return timeline.news_once(news, AGGREGATOR).unionByName(quoted).unionByName(attention).unionByName(pages).orderBy(F.desc_nulls_last("created_at"), "item_type", "player_id", "body")
+
+
+@query("select id, name, case when length(s) >= 2 and not contains(s, ' ') then length(s) else case when contains(s, ' ') then 2 else 1 end end as variations, replace(s, ' ', '') as bare from (select id, name, " + S.strip(S.sub("name", S.SPACE + "+", " ")) + " as s from player_candidates where name is not null)")
+def name_variation_counts(spark, d):
+    c = A.candidates(spark, d).where("name is not null")
+    return c.select("id", "name", F.size(T.name_variations(F.col("name"))).alias("variations"), F.replace(T.spaced_name(F.col("name")), F.lit(" "), F.lit("")).alias("bare"))
+
+
+@query("select entry_id, coalesce(nullif(regexp_replace(nullif(affiliation, ''), '(?:野球)?連盟$', ''), ''), nullif(affiliation, ''), '—') as federation from roster_entries")
+def federation_labels(spark, d):
+    return table(spark, d, "roster_entries").select("entry_id", T.federation_label(F.col("affiliation")).alias("federation"))
+
+
+@query(f"select id, case when lower(trim(team_name)) in ({', '.join(S.quote(v) for v in V.TEST_CLUBS.values())}) then lower(trim(team_name)) end as club from scout_comments")
+def comment_club_keys(spark, d):
+    return A.comments(spark, d).select("id", T.known_club(F.col("team_name"), tuple(V.TEST_CLUBS.values())).alias("club"))
+
+
+@query("select id, coalesce(starts_with(url, 'https://') and contains(url, '/article/'), false) as valid from crawled_articles")
+def article_urls(spark, d):
+    return A.articles(spark, d).select("id", T.article_url(F.col("url"), "https://", "/article/").alias("valid"))
+
+
+@query(f"select id, case when {_KIND} = 'player_watch' then player_key || 'にスカウトの注目集まる' when {_KIND} = 'scout_meeting' then 'スカウト会議・編成動向まとめ' else coalesce(nullif(title, ''), 'ドラフト関連トピック') end as placeholder from {_SIG}")
+def placeholder_titles(spark, d):
+    s = _signals(spark, d)
+    kind = topics.topic_type(F.concat(F.coalesce("title", F.lit("")), F.lit("\n"), F.coalesce("evidence", F.lit(""))), F.col("player_key"))
+    return s.select("id", T.placeholder_title(kind, F.col("player_key"), F.lit(0), F.lit(0), F.col("title")).alias("placeholder"))
+
+
+@query()
+def entry_keys(spark, d):
+    return table(spark, d, "roster_entries").select("entry_id", T.entry_key(F.col("category"), F.col("name"), F.col("school")).alias("key"))
+
+
+@query("select source, id from crawled_articles qualify row_number() over (partition by source order by created_at desc nulls last, id) <= 20")
+def per_source_limit(spark, d):
+    return dedup.newest(A.articles(spark, d), ["source"], [F.desc_nulls_last("created_at"), F.asc("id")], 20).select("source", "id")
+
+
+@query("select distinct player_name, player_team, team_name, scout_name, comment from scout_comments")
+def exact_row_distinct(spark, d):
+    return A.comments(spark, d).select("player_name", "player_team", "team_name", "scout_name", "comment").distinct()
+
+
+_CV = f"(select id, source_url as url, {REF} as player, {S.day('published_at')} as published, length(comment) % 3 = 0 as dated from scout_comments)"
+
+
+@query(f"with c as {_CV} select c.id, coalesce(v.event_date, c.published) as event_date from c left join (select url, player, arg_min(published, id) as event_date from c where dated and url is not null and player is not null and published is not null group by 1, 2) v on v.url = c.url and v.player = c.player")
+def event_date_resolution(spark, d):
+    c = A.comments(spark, d)
+    rows = c.select("id", F.col("source_url").alias("url"), dedup.visit_ref(F.col("player_id"), F.col("player_candidate_id"), F.col("player_name")).alias("player"), day(F.col("published_at")).alias("published"), (F.length("comment") % 3 == 0).alias("dated"))
+    visits = rows.where("dated").select("url", "player", F.col("published").alias("event_date"), F.col("id").alias("seq"))
+    return links.event_dates(rows.drop("dated"), visits).select("id", "event_date")
+
+
+@query("select distinct crawled_article_id as article, id as candidate from player_candidates where crawled_article_id is not null and (crawled_article_id, id) not in (select crawled_article_id, id from player_candidates where crawled_article_id is not null and status = 'promoted')")
+def bridge_missing_pairs(spark, d):
+    c = A.candidates(spark, d).select(F.col("crawled_article_id").alias("article"), F.col("id").alias("candidate"), "status")
+    return links.missing_pairs(c, c.where("status = 'promoted'"), "article", "candidate")
+
+
+@query("select id, coalesce(case when id in (select player_id from player_candidates where player_id is not null and status = 'promoted') then true end, declared, false) as declared from players")
+def declared_update(spark, d):
+    done = A.candidates(spark, d).where("status = 'promoted'").select("player_id")
+    return links.declared(table(spark, d, "players").select("id", "declared"), done)
+
+
+@query("select s.id, case when s.player_id is null and s.player_candidate_id is null then c.cid else s.player_candidate_id end as player_candidate_id from scout_comments s left join (select latest_source_url as url, min(id) as cid from player_candidates where latest_source_url is not null group by 1) c on c.url = s.source_url")
+def comment_backfill_links(spark, d):
+    return links.backfilled(A.comments(spark, d).select("id", "player_id", "player_candidate_id", "source_url"), A.evidence(spark, d)).select("id", "player_candidate_id")
+
+
+@query("select id, case when status = 'approved' and length(name) % 2 = 0 then 'promoted' else status end as status, status = 'approved' and length(name) % 2 = 0 as accepted from player_candidates where name is not null")
+def lifecycle_transitions(spark, d):
+    c = A.candidates(spark, d).where("name is not null")
+    wanted = c.where(F.length("name") % 2 == 0).select("id", F.lit("promoted").alias("status"))
+    return promote.stepped(c.select("id", "status"), wanted, {"pending": ("approved", "rejected"), "approved": ("promoted",)})
+
+
+@query(f"with p as (select {_RK} as k, min(entry_id) as first_seen_at from roster_entries where season = 2025 group by 1) select e.entry_id, coalesce(p.first_seen_at, e.entry_id + 100000) as first_seen_at from (select *, {_RK} as k from roster_entries where season = 2026) e left join p using (k)")
+def first_seen_carry_over(spark, d):
+    r = table(spark, d, "roster_entries").withColumn("k", F.concat(F.regexp_replace("name", T.SPACE, ""), F.lit("|"), "school"))
+    before = r.where("season = 2025").groupBy("k").agg(F.min("entry_id").alias("first_seen_at"))
+    return roster.carried_over(before, r.where("season = 2026"), "k", F.col("entry_id") + 100_000).select("entry_id", "first_seen_at")
+
+
+@query("select category, count(*) as articles, count(distinct source) as sources, min(id) as first_id from crawled_articles group by category")
+def news_category_counts(spark, d):
+    return A.articles(spark, d).groupBy("category").agg(F.count("*").alias("articles"), F.countDistinct("source").alias("sources"), F.min("id").alias("first_id"))
+
+
+@query(f"select team_name as team, {S.day('published_at')} as day, count(*) as comments, count(distinct {REF}) as players from scout_comments group by 1, 2")
+def team_visit_summary(spark, d):
+    ref = dedup.visit_ref(F.col("player_id"), F.col("player_candidate_id"), F.col("player_name"))
+    return A.comments(spark, d).groupBy(F.col("team_name").alias("team"), day(F.col("published_at")).alias("day")).agg(F.count("*").alias("comments"), F.countDistinct(ref).alias("players"))
+
+
+@query("select id, title from crawled_articles order by created_at desc nulls last, id limit 20 offset 20")
+def news_page(spark, d):
+    return A.articles(spark, d).orderBy(F.desc_nulls_last("created_at"), "id").offset(20).limit(20).select("id", "title")
+
+
+@query("select id, player_name, team_name from scout_comments where player_name is not null and trim(player_name) <> '' and player_name not in ('不明', 'unknown')")
+def unknown_name_drop(spark, d):
+    n = F.col("player_name")
+    return A.comments(spark, d).where(n.isNotNull() & (F.trim(n) != "") & ~n.isin("不明", "unknown")).select("id", "player_name", "team_name")

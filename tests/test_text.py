@@ -33,7 +33,7 @@ def test_codes(spark):
     assert values(spark, T.positions_of, ["ピッチャー", "左翼手", "P"], ["", "代走"], None, schema="array<string>") == [["投手", "外野手"], ["代走"], []]
     assert values(spark, T.bats_of, "両打", "右", "l", "?", None) == ["S", "R", "L", None, None]
     assert values(spark, T.category_of, "高校野球", "社会人", "独立", "", "hs") == ["高校", "社会人", "独立リーグ", None, "hs"]
-    assert values(spark, T.rank_label, 90, 30, 85, None, schema="int") == ["S", "F", "-", "-"]
+    assert values(spark, T.rank_label, 90, 30, 85, None, schema="int") == ["S", "F", "—", "—"]
     assert values(spark, T.plain_excerpt, "[a](http://x) **b**\n# c", "##", None) == ["a b c", None, None]
 
 
@@ -55,3 +55,12 @@ def test_draft_years(spark):
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, y int, p string, s string, c string, t string")
     got = [r[0] for r in df.orderBy("i").select(D.draft_year(F.col("y"), F.col("p"), F.col("s"), F.col("c"), F.col("t"))).collect()]
     assert got == [2027, 2026, 2028, 2026, 2026, 2025, None, 2025]
+
+
+def test_small_forms(spark):
+    assert values(spark, T.name_variations, "山田 一", "山田", None) == [["山田 一", "山田一"], ["山 田", "山田"], [""]]
+    assert values(spark, T.federation_label, "空木野球連盟", "連盟", "", None) == ["空木", "連盟", "—", "—"]
+    assert values(spark, T.checked_keys, "- [x] a <!--k:k1-->\n- [ ] b <!--k:k2-->\n- [X] c <!--k:k3-->", None) == [["k1", "k3"], []]
+    assert values(spark, lambda x: T.known_club(x, ("lions",), {"seibu": "lions"}), " Seibu", "other", None) == ["lions", None, None]
+    assert values(spark, lambda x: T.article_url(x, "https://n.example/"), "https://n.example/articles/1", "https://n.example/x", None) == [True, False, False]
+    assert values(spark, lambda x: T.placeholder_title(F.lit("player_watch"), x, F.lit(3), F.lit(0), F.lit("t")), "甲", "", None) == ["甲にスカウト視察集中（3球団0人）", "t", "t"]
