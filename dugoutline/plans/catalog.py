@@ -617,7 +617,7 @@ def timeline_full(spark, d):
     person = ev.where("article_id is not null").groupBy("article_id").agg(F.min_by(F.struct("player_id", "candidate_id"), F.struct(F.col("player_id").isNull(), F.col("created_at"), F.col("id"))).alias("_p"))
     seen = _attention(spark, d).join(art, F.col("id") == F.col("article_id")).drop("id").join(person, "article_id")
     attention = timeline.branch(seen, "attention", player_id=F.col("_p.player_id"), player_candidate_id=F.col("_p.candidate_id"), crawled_article_id=F.col("article_id"), source_url=F.col("url"), title=F.col("title"), source=F.col("source"), category=F.col("category"), body=F.col("sentence"), score=F.col("score"))
-    pages = timeline.branch(table(spark, d, "players"), "draft_watch_article", player_id=F.col("id"), title=F.col("name"), source=F.lit("profile"), category=F.col("category"), created_at=F.col("created_at"))
+    pages = timeline.branch(table(spark, d, "players"), "site_article", player_id=F.col("id"), title=F.col("name"), source=F.lit("profile"), category=F.col("category"), created_at=F.col("created_at"))
     quoted = _timeline(spark, d).where("item_type = 'scout_comment'")
     return timeline.news_once(news, AGGREGATOR).unionByName(quoted).unionByName(attention).unionByName(pages).orderBy(F.desc_nulls_last("created_at"), "item_type", "player_id", "body")
 
