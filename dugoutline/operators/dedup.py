@@ -6,6 +6,7 @@ row of a group is wanted, so hot keys aren't gathered in one task.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from dugoutline.functions import text as T
 from dugoutline.operators.graph import components
+from dugoutline.session import checkpointed
 
 
 def first_by(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
@@ -44,25 +46,52 @@ def ratio(a: str | None, b: str | None) -> float:
     return SequenceMatcher(None, a or "", b or "").ratio()
 
 
+def bag_ratio(a: str | None, b: str | None) -> float:
+    """What the ratio of two texts can't exceed: that of their bags of characters."""
+    x, y = Counter(a or ""), Counter(b or "")
+    n = len(a or "") + len(b or "")
+    return 2 * sum((x & y).values()) / n if n else 1.0
+
+
 def may_reach(a: Column, b: Column, t: float) -> Column:
     """Bound by length: false only where the ratio of two texts can't exceed ``t``."""
     la, lb = F.length(F.coalesce(a, F.lit(""))), F.length(F.coalesce(b, F.lit("")))
     return (F.least(la, lb) * 2 > (la + lb) * t) | (la + lb == 0)
 
 
-def similar_pairs(later: DataFrame, earlier: DataFrame, block: list[str], t: float) -> DataFrame:
+def _title_tokens(df: DataFrame) -> DataFrame:
+    """(seq, tokens): characters of the title numbered by occurrence, so that equal bags are equal sets."""
+    chars = df.select("seq", F.explode(F.when(F.length("title") > 0, F.split("title", "")).otherwise(F.array(F.lit("")))).alias("c"))
+    counted = chars.groupBy("seq", "c").agg(F.count("*").alias("n"))
+    return counted.select("seq", F.explode(F.transform(F.sequence(F.lit(1), F.col("n").cast("int")), lambda i: F.concat(F.col("c"), i.cast("string")))).alias("token"))
+
+
+def similar_pairs(later: DataFrame, earlier: DataFrame, t: float) -> DataFrame:
     """(seq_a, seq_b) of a later and an earlier article whose titles and bodies both have a ratio above ``t``.
 
-    Candidates share a block key; a bound on lengths drops most before the exact ratio, titles go first.
+    No pair is lost: a ratio above ``t`` needs more than t / (2 - t) of a title's characters in common, so two
+    such titles share one of the rarest rest of each. Pairs that do are held against the bounds that the
+    common characters and the lengths set, and only those that may reach ``t`` against the exact ratio.
     """
-    a = later.select(*[F.col(c).alias(f"a_{c}") for c in ("seq", "title", "body")], *[F.col(k).alias(f"_b{i}") for i, k in enumerate(block)])
-    b = earlier.select(*[F.col(c).alias(f"b_{c}") for c in ("seq", "title", "body")], *[F.col(k).alias(f"_b{i}") for i, k in enumerate(block)])
-    near = a.join(b, [f"_b{i}" for i in range(len(block))]).where(F.col("a_seq") > F.col("b_seq"))
+    both = later.select("seq", "title").unionByName(earlier.select("seq", "title")).distinct()
+    tokens = _title_tokens(both.withColumn("title", F.coalesce("title", F.lit(""))))
+    df = tokens.groupBy("token").agg(F.count("*").alias("df"))
+    w = Window.partitionBy("seq")
+    ranked = tokens.join(df, "token").withColumns({"rank": F.row_number().over(w.orderBy("df", "token")), "size": F.count("*").over(w)})
+    prefix = ranked.where(F.col("rank") <= F.col("size") - F.floor(F.col("size") * t / (2 - t))).select("seq", "token")
+    bags = tokens.groupBy("seq").agg(F.collect_list("token").alias("bag"))
+    side = lambda rows, x: rows.select(*[F.col(c).alias(f"{x}_{c}") for c in ("seq", "title", "body")])
+    token = lambda rows, x: prefix.join(rows.select("seq"), "seq", "left_semi").select(F.col("seq").alias(f"{x}_seq"), "token")
+    met = token(later, "a").join(token(earlier, "b"), "token").where("a_seq > b_seq").select("a_seq", "b_seq").distinct()
+    bag = lambda x: bags.select(F.col("seq").alias(f"{x}_seq"), F.col("bag").alias(f"{x}_bag"))
+    common = F.size(F.array_intersect("a_bag", "b_bag"))
+    near = met.join(bag("a"), "a_seq").join(bag("b"), "b_seq").where(2 * common > t * (F.size("a_bag") + F.size("b_bag"))).select("a_seq", "b_seq")
+    near = near.join(side(later, "a"), "a_seq").join(side(earlier, "b"), "b_seq")
     near = near.where(may_reach(F.col("a_title"), F.col("b_title"), t) & may_reach(F.col("a_body"), F.col("b_body"), t))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
-            keep = [ratio(p, q) > t and ratio(r, s) > t for p, q, r, s in zip(x["a_title"], x["b_title"], x["a_body"], x["b_body"], strict=True)]
+            keep = [ratio(p, q) > t and bag_ratio(r, s) > t and ratio(r, s) > t for p, q, r, s in zip(x["a_title"], x["b_title"], x["a_body"], x["b_body"], strict=True)]
             yield x.loc[keep, ["a_seq", "b_seq"]].rename(columns={"a_seq": "seq_a", "b_seq": "seq_b"})
 
     return near.select("a_seq", "b_seq", "a_title", "b_title", "a_body", "b_body").mapInPandas(run, "seq_a bigint, seq_b bigint")
@@ -83,12 +112,12 @@ def replay(rows: list[tuple[int, int]], similar: set[tuple[int, int]]) -> list[t
     return [(k[0], k[2]) for k in kept]
 
 
-def similarity_dedup(articles: DataFrame, block: list[str], t: float = 0.8, priorities: dict[str, int] | None = None) -> DataFrame:
+def similarity_dedup(articles: DataFrame, t: float = 0.8, priorities: dict[str, int] | None = None) -> DataFrame:
     """(seq, slot) of the articles that survive: greedy in order within each component of similar pairs.
 
-    ``articles``: seq, title, body, source and the block columns. Articles without a similar one survive.
+    ``articles``: seq, title, body, source. Articles without a similar one survive.
     """
-    pairs = similar_pairs(articles, articles, block, t)
+    pairs = checkpointed(similar_pairs(articles, articles, t))
     parts = components(pairs, "seq_a", "seq_b")
     prio = articles.select("seq", T.source_priority(F.col("source"), priorities).alias("prio"))
     left = pairs.join(parts.select(F.col("node").alias("seq_a"), "component"), "seq_a").join(prio.select(F.col("seq").alias("seq_a"), F.col("prio").alias("prio_a")), "seq_a")

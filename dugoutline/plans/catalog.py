@@ -276,14 +276,13 @@ def evidence_dedup(spark, d):
     return c.select(dedup.visit_ref(F.col("player_id"), F.col("player_candidate_id"), F.col("player_name")).alias("ref"), F.col("team_name").alias("team"), F.md5("comment").alias("evidence_hash")).where("evidence_hash is not null and ref is not null").distinct()
 
 
-_VISITS = f"(select id, {REF} as ref, coalesce(team_name, '') as team, case when length(comment) % 3 = 0 then null else {S.day('published_at')} end as event_date, case when contains(source_url, 'matome.example') then 1 else 0 end as aggregator, created_at from scout_comments where {REF} is not null)"
+_VISITS = f"(select id, {REF} as ref, coalesce(team_name, '') as team, {S.day('update_at')} as event_date, case when contains(source_url, 'matome.example') then 1 else 0 end as aggregator, created_at from scout_comments where {REF} is not null)"
 _KEPT = f"select * from {_VISITS} qualify row_number() over (partition by ref, team, event_date order by aggregator, created_at nulls last, id) = 1"
 
 
 def _visits(spark, d):
     c = A.comments(spark, d)
-    undated = F.length("comment") % 3 == 0
-    return c.select("id", dedup.visit_ref(F.col("player_id"), F.col("player_candidate_id"), F.col("player_name")).alias("ref"), F.coalesce("team_name", F.lit("")).alias("team"), F.when(undated, None).otherwise(day(F.col("published_at"))).alias("event_date"), F.coalesce(F.col("source_url").contains("matome.example"), F.lit(False)).cast("int").alias("aggregator"), "created_at").where("ref is not null")
+    return c.select("id", dedup.visit_ref(F.col("player_id"), F.col("player_candidate_id"), F.col("player_name")).alias("ref"), F.coalesce("team_name", F.lit("")).alias("team"), day(F.col("update_at")).alias("event_date"), F.coalesce(F.col("source_url").contains("matome.example"), F.lit(False)).cast("int").alias("aggregator"), "created_at").where("ref is not null")
 
 
 @query(f"with k as ({_KEPT}) select id, ref, team, event_date from k where event_date is not null or team = '' or (ref, team) not in (select (ref, team) from k where event_date is not null)")
@@ -321,12 +320,12 @@ def pair_representative(spark, d):
 
 def _seq_articles(spark, d):
     a = A.articles(spark, d).where("title is not null and body is not null")
-    return a.select(F.xxhash64("id").alias("seq"), "title", "body", "source", F.substring(T.clean_text(F.col("title")), 1, 6).alias("head"))
+    return a.select(F.xxhash64("id").alias("seq"), "title", "body", "source")
 
 
 @query()
 def near_duplicate_articles(spark, d):
-    return dedup.similarity_dedup(_seq_articles(spark, d), ["head"], 0.8, V.TEST_PRIORITIES)
+    return dedup.similarity_dedup(_seq_articles(spark, d), 0.8, V.TEST_PRIORITIES)
 
 
 @query()
@@ -334,7 +333,7 @@ def aggregator_anti_similar(spark, d):
     a = _seq_articles(spark, d)
     told = a.where(F.col("source") == AGGREGATOR).withColumn("seq", F.abs("seq"))
     originals = a.where(F.col("source") != AGGREGATOR).withColumn("seq", -F.abs("seq"))
-    again = dedup.similar_pairs(told, originals, ["head"], 0.7).select(F.col("seq_a").alias("seq")).distinct()
+    again = dedup.similar_pairs(told, originals, 0.7).select(F.col("seq_a").alias("seq")).distinct()
     return told.select("seq", "title").join(again, "seq", "left_anti")
 
 
@@ -378,7 +377,7 @@ def name_lookup(spark, d):
     return links.name_lookup(A.comments(spark, d).where("player_name is not null").select(F.col("player_name").alias("name")), table(spark, d, "players"))
 
 
-_ITEMS = f"(select coalesce(source_url, '') as url, {REF} as player, case when length(comment) % 7 = 0 then 'all' else coalesce(team_name, 'other') end as team from scout_comments where {REF} is not null)"
+_ITEMS = f"(select coalesce(source_url, '') as url, {REF} as player, coalesce(team_name, 'all') as team from scout_comments where {REF} is not null)"
 
 
 @query(f"""with i as {_ITEMS} select distinct url, player, team from i where team <> 'all'
@@ -386,18 +385,18 @@ union all select s.url, s.player, t.team from (select distinct url, player from
 def all_team_expansion(spark, d):
     c = A.comments(spark, d)
     ref = dedup.visit_ref(F.col("player_id"), F.col("player_candidate_id"), F.col("player_name"))
-    team = F.when(F.length("comment") % 7 == 0, "all").otherwise(F.coalesce("team_name", F.lit("other")))
+    team = F.coalesce("team_name", F.lit("all"))
     items = c.select(F.coalesce("source_url", F.lit("")).alias("url"), ref.alias("player"), team.alias("team")).where("player is not null")
     return links.all_team_expansion(items, table(spark, d, "scouts").select(F.col("team_key").alias("team")))
 
 
-@query(f"""with c as (select id as seq, source_url as url, {REF} as player, team_name as team from scout_comments where source_url is not null and {REF} is not null and team_name <> ''),
-v as (select distinct url, player, team from c where seq < '8') select url, player, team, min(seq) as seq from c where (url, player, team) not in (select (url, player, team) from v) group by 1, 2, 3""")
+@query(f"""with c as (select id as seq, source_url as url, {REF} as player, team_name as team, scout_name from scout_comments where source_url is not null and {REF} is not null and team_name <> ''),
+v as (select distinct url, player, team from c where scout_name is not null) select url, player, team, min(seq) as seq from c where (url, player, team) not in (select (url, player, team) from v) group by 1, 2, 3""")
 def derive_visits(spark, d):
     c = A.comments(spark, d)
     ref = dedup.visit_ref(F.col("player_id"), F.col("player_candidate_id"), F.col("player_name"))
-    rows = c.select(F.col("id").alias("seq"), F.col("source_url").alias("url"), ref.alias("player"), F.col("team_name").alias("team")).where("url is not null and player is not null and team is not null")
-    return links.derived_visits(rows, rows.where("seq < '8'")).select("url", "player", "team", "seq")
+    rows = c.select(F.col("id").alias("seq"), F.col("source_url").alias("url"), ref.alias("player"), F.col("team_name").alias("team"), "scout_name").where("url is not null and player is not null and team is not null")
+    return links.derived_visits(rows, rows.where("scout_name is not null")).select("url", "player", "team", "seq")
 
 
 @query("""select id, title, coalesce(o.created, n.created) as created from (select url, id, title, epoch_us(created_at) as created from crawled_articles where url is not null qualify row_number() over (partition by url order by created_at desc nulls last, id) = 1) n
@@ -460,14 +459,14 @@ def topic_keys(spark, d):
 
 
 _EV = "(select event_id, event_type, user_id, cast(ts as date) as day from events)"
-_TOPICS = f"(select event_type, user_id, day, min(event_id) as topic_id from {_EV} where event_id % 2 = 0 group by all)"
+_TOPICS = f"(select event_type, user_id, day, min(event_id) as topic_id from {_EV} group by all)"
 
 
-@query(f"select s.event_id as signal_id, max(t.topic_id) as topic_id from {_EV} s join {_TOPICS} t on s.event_type = t.event_type and s.user_id = t.user_id and abs(date_diff('day', s.day, t.day)) <= 3 where s.event_id % 2 = 1 group by 1")
+@query(f"select s.event_id as signal_id, max(t.topic_id) as topic_id from {_EV} s join {_TOPICS} t on s.event_type = t.event_type and s.user_id = t.user_id and abs(date_diff('day', s.day, t.day)) <= 3 group by 1")
 def topic_near_match(spark, d):
     e = table(spark, d, "events").select("event_id", "event_type", "user_id", F.to_date("ts").alias("day"))
-    opened = e.where("event_id % 2 = 0").groupBy("event_type", "user_id", "day").agg(F.min("event_id").alias("topic_id"))
-    new = e.where("event_id % 2 = 1").select(F.col("event_id").alias("signal_id"), F.col("event_type").alias("topic_type"), F.col("user_id").alias("player"), "day")
+    opened = e.groupBy("event_type", "user_id", "day").agg(F.min("event_id").alias("topic_id"))
+    new = e.select(F.col("event_id").alias("signal_id"), F.col("event_type").alias("topic_type"), F.col("user_id").alias("player"), "day")
     return topics.near_topics(new, opened.select("topic_id", F.col("event_type").alias("topic_type"), F.col("user_id").alias("player"), F.col("day").alias("event_day"), F.col("topic_id").alias("created_at")))
 
 
@@ -665,13 +664,13 @@ def exact_row_distinct(spark, d):
     return A.comments(spark, d).select("player_name", "player_team", "team_name", "scout_name", "comment").distinct()
 
 
-_CV = f"(select id, source_url as url, {REF} as player, {S.day('published_at')} as published, length(comment) % 3 = 0 as dated from scout_comments)"
+_CV = f"(select id, source_url as url, {REF} as player, {S.day('published_at')} as published, update_at is not null as dated from scout_comments)"
 
 
 @query(f"with c as {_CV} select c.id, coalesce(v.event_date, c.published) as event_date from c left join (select url, player, arg_min(published, id) as event_date from c where dated and url is not null and player is not null and published is not null group by 1, 2) v on v.url = c.url and v.player = c.player")
 def event_date_resolution(spark, d):
     c = A.comments(spark, d)
-    rows = c.select("id", F.col("source_url").alias("url"), dedup.visit_ref(F.col("player_id"), F.col("player_candidate_id"), F.col("player_name")).alias("player"), day(F.col("published_at")).alias("published"), (F.length("comment") % 3 == 0).alias("dated"))
+    rows = c.select("id", F.col("source_url").alias("url"), dedup.visit_ref(F.col("player_id"), F.col("player_candidate_id"), F.col("player_name")).alias("player"), day(F.col("published_at")).alias("published"), F.col("update_at").isNotNull().alias("dated"))
     visits = rows.where("dated").select("url", "player", F.col("published").alias("event_date"), F.col("id").alias("seq"))
     return links.event_dates(rows.drop("dated"), visits).select("id", "event_date")
 
@@ -693,10 +692,10 @@ def comment_backfill_links(spark, d):
     return links.backfilled(A.comments(spark, d).select("id", "player_id", "player_candidate_id", "source_url"), A.evidence(spark, d)).select("id", "player_candidate_id")
 
 
-@query("select id, case when status = 'approved' and length(name) % 2 = 0 then 'promoted' else status end as status, status = 'approved' and length(name) % 2 = 0 as accepted from player_candidates where name is not null")
+@query("select id, case when status = 'approved' and source_count > 1 then 'promoted' else status end as status, coalesce(status = 'approved' and source_count > 1, false) as accepted from player_candidates where name is not null")
 def lifecycle_transitions(spark, d):
     c = A.candidates(spark, d).where("name is not null")
-    wanted = c.where(F.length("name") % 2 == 0).select("id", F.lit("promoted").alias("status"))
+    wanted = c.where("source_count > 1").select("id", F.lit("promoted").alias("status"))
     return promote.stepped(c.select("id", "status"), wanted, {"pending": ("approved", "rejected"), "approved": ("promoted",)})
 
 

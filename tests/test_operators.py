@@ -67,11 +67,12 @@ def test_similarity_dedup_against_global_replay(spark):
         base = f"story {r.randrange(8)} "
         body = base * 12 + "".join(r.choice("abcdef ") for _ in range(r.choice((2, 40))))
         rows.append((i, base + "title", body, r.choice(("日刊ダイヤモンド", "まとめポータル", "else")), "k"))
+    rows += [(100, "", "", "x", "k"), (101, None, None, "x", "k"), (102, "", "long", "x", "k")]
     df = spark.createDataFrame(rows, "seq bigint, title string, body string, source string, k string")
     similar = {(a[0], b[0]) for a in rows for b in rows if a[0] > b[0] and dedup.ratio(a[1], b[1]) > 0.8 and dedup.ratio(a[2], b[2]) > 0.8}
     prio = lambda s: V.TEST_PRIORITIES.get(s, 5)
     want = sorted(dedup.replay([(x[0], prio(x[3])) for x in rows], similar))
-    got = sorted((x.seq, x.slot) for x in dedup.similarity_dedup(df, ["k"], 0.8, V.TEST_PRIORITIES).collect())
+    got = sorted((x.seq, x.slot) for x in dedup.similarity_dedup(df, 0.8, V.TEST_PRIORITIES).collect())
     assert got == want and len(want) < len(rows)
 
 
