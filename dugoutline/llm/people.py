@@ -123,28 +123,26 @@ def with_vectors(units: DataFrame) -> DataFrame:
     return out
 
 
-def cosine_candidates(units: DataFrame, other: DataFrame | None, threshold: float) -> DataFrame:
-    """(a, b) pairs of units that may reach the cosine in either view; within ``units``, or from them to ``other``."""
-
-    def tokens(side: DataFrame) -> DataFrame:
-        views = F.array(*[F.struct(F.lit(v).alias("view"), F.col(v).alias("name")) for v in ("written", "spoken")])
-        each = side.select("unit", "place", F.inline(views)).where("name is not null and place is not null")
-        pairs = F.flatten(F.transform("name", lambda n: F.transform("place", lambda p: F.struct(F.xxhash64(F.col("view"), n["g"], p["g"]).alias("token"), (n["w"] * p["w"]).alias("w")))))
-        return each.select("unit", "view", F.inline(pairs))
-
-    def prefixes(rows: DataFrame, df: DataFrame) -> DataFrame:
-        order = Window.partitionBy("unit", "view").orderBy("df", "token").rowsBetween(Window.unboundedPreceding, -1)
-        rest = 1 - F.coalesce(F.sum(F.col("w") * F.col("w")).over(order), F.lit(0.0))
-        return rows.join(df, "token").withColumn("rest", rest).where(F.col("rest") >= threshold * threshold - 1e-9).select("unit", "token")
-
-    mine = tokens(units)
-    rows = mine if other is None else mine.unionByName(tokens(other))
+def cosine_candidates(units: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): uids of units whose cosine may reach the threshold in either view, a < b.
+
+    A vector's tokens are taken from the rarest on, in one order for all, until the norm of the rest is below half
+    the threshold. The rest of the one that ends first can't give more than that norm, so a pair that reaches the
+    threshold has at least half of it in the tokens taken of both.
+    """
+    half = threshold / 2
+    views = F.array(*[F.struct(F.lit(v).alias("view"), F.col(n).alias("name")) for v, n in enumerate(("written", "spoken"))])
+    each = units.select("uid", "place", F.inline(views)).where("name is not null and place is not null")
+    pairs = F.flatten(F.transform("name", lambda n: F.transform("place", lambda p: F.struct(F.xxhash64(F.col("view"), n["g"], p["g"]).alias("token"), (n["w"] * p["w"]).alias("w")))))
+    rows = each.select((F.col("uid") * 2 + F.col("view")).alias("vector"), F.inline(pairs))
     df = rows.groupBy("token").agg(F.count("*").alias("df"))
-    left = prefixes(mine, df)
-    right = left if other is None else prefixes(tokens(other), df)
-    a, b = left.withColumnRenamed("unit", "a"), right.withColumnRenamed("unit", "b")
-    met = a.join(b, "token")
-    return (met.where("a < b") if other is None else met).select("a", "b").distinct()
+    order = Window.partitionBy("vector").orderBy("df", "token").rowsBetween(Window.unboundedPreceding, -1)
+    rest = 1 - F.coalesce(F.sum(F.col("w") * F.col("w")).over(order), F.lit(0.0))
+    kept = rows.join(df.where("df > 1"), "token", "left").withColumn("df", F.coalesce("df", F.lit(1))).withColumn("rest", rest).where((F.col("rest") >= half * half - 1e-9) & (F.col("df") > 1)).select("vector", "token", "w")
+    a, b = kept.select("token", F.col("vector").alias("va"), F.col("w").alias("wa")), kept.select("token", F.col("vector").alias("vb"), F.col("w").alias("wb"))
+    met = a.join(b, "token").where("va < vb and pmod(va, 2) = pmod(vb, 2)")
+    near = met.groupBy("va", "vb").agg(F.sum(F.col("wa") * F.col("wb")).alias("s")).where(F.col("s") >= half - 1e-9)
+    return near.select(F.expr("shiftright(va, 1)").alias("a"), F.expr("shiftright(vb, 1)").alias("b")).distinct()
 
 
 def _prefix(a: str, b: str, least: int = 1) -> bool:
@@ -314,10 +312,10 @@ def _dot(x, y):
     return F.aggregate(x, F.lit(0.0), lambda s, e: s + e["w"] * F.coalesce(F.try_element_at(other, e["g"]), F.lit(0.0)))
 
 
-def scored(near: DataFrame, left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, score) of the candidate pairs whose cosine in the better view reaches ``threshold``."""
-    side = lambda df, s: df.select(*[F.col(c).alias(f"{s}_{c}") for c in ("unit", *FIELDS, "written", "spoken", "place")])
-    both = near.join(side(left, "a"), F.col("a") == F.col("a_unit")).join(side(right, "b"), F.col("b") == F.col("b_unit"))
+def scored(near: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, score), a and b units, of the candidate pairs (uids) whose cosine in the better view reaches ``threshold``."""
+    side = lambda df, s: df.select(*[F.col(c).alias(f"{s}_{c}") for c in ("uid", "unit", *FIELDS, "written", "spoken", "place")])
+    both = near.join(side(units, "a"), F.col("a") == F.col("a_uid")).join(side(units, "b"), F.col("b") == F.col("b_uid"))
     best = F.greatest(*[F.coalesce(_dot(F.col(f"a_{v}"), F.col(f"b_{v}")), F.lit(0.0)) for v in ("written", "spoken")])
     close = both.where(best * _dot(F.col("a_place"), F.col("b_place")) >= threshold)
     lists = [F.array_join(f"{s}_parts", " ").alias(f"{s}_parts") if f == "parts" else F.col(f"{s}_{f}") for s in "ab" for f in FIELDS]
@@ -332,17 +330,17 @@ def scored(near: DataFrame, left: DataFrame, right: DataFrame, threshold: float)
                 out.append((a, b, pair_score(x, y)))
             yield pd.DataFrame(out, columns=["a", "b", "score"])
 
-    return close.select("a", "b", *lists).mapInPandas(run, "a string, b string, score double")
+    return close.select("a_unit", "b_unit", *lists).mapInPandas(run, "a string, b string, score double")
 
 
 def scored_pairs(units: DataFrame, threshold: float) -> DataFrame:
     """(a, b, score) of the unit pairs whose cosine reaches ``threshold``."""
-    return scored(cosine_candidates(units, None, threshold), units, units, threshold)
+    return scored(cosine_candidates(units, threshold), units, threshold)
 
 
 def person_units(rows: DataFrame, threshold: float = 0.2, link: float = 0.55, mean: float = 0.45) -> tuple[DataFrame, DataFrame]:
     """(unit rows with vectors, unit -> person). ``rows`` come from ``parsed``."""
-    units = checkpointed(with_vectors(checkpointed(units_of(rows))))
+    units = checkpointed(with_vectors(checkpointed(units_of(rows))).withColumn("uid", F.monotonically_increasing_id()))
     pairs = checkpointed(scored_pairs(units, threshold))
     parts = components(pairs.where(F.col("score") >= link), "a", "b")
     inside = pairs.join(parts.select(F.col("node").alias("a"), "component"), "a").join(parts.select(F.col("node").alias("b"), F.col("component").alias("_c")), "b").where("component = _c")
