@@ -220,7 +220,7 @@ def search(index: Index, ids: list, texts: list[str | None], coverage: float, pa
     return found
 
 
-def leaked_items(documents: DataFrame, items: DataFrame, coverage: float = 0.42, share: float = 0.45, passage: int = 1024, block_chars: int = 4_000_000) -> DataFrame:
+def leaked_items(documents: DataFrame, items: DataFrame, coverage: float = 0.42, share: float = 0.45, passage: int = 1024, block_chars: int = 1_000_000) -> DataFrame:
     """(doc_id, item_id, coverage): documents that carry about half or more of an item.
 
     A sentence is carried if ``share`` of its six-grams lie close together; an item, if carried sentences make

@@ -185,29 +185,33 @@ def text_statistics(documents: DataFrame, chunk: int = 100_000, run: int = 64) -
     A null text counts as empty; an empty one gives zero counts. Rows that repeat a doc_id are one document
     only if their texts are equal; the counts are of one of them. Other columns are not read.
     """
-    n = F.length("text")
-    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    cut = texts.select("doc_id", F.xxhash64("text").alias("digest"), F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), ((n - 1) / chunk).cast("int")))).alias("no"), "text")
-    at = F.col("no") * chunk
-    pieces = cut.select(
-        "doc_id", "digest", "no",
-        F.when(at > 0, F.substring(F.col("text"), at - CONTEXT + 1, F.lit(CONTEXT))).otherwise("").alias("before"),
-        F.when(n <= chunk, F.col("text")).otherwise(F.substring(F.col("text"), at + 1, F.lit(chunk))).alias("core"),
-        F.when(n > at + chunk, F.substring(F.col("text"), at + chunk + 1, F.lit(CONTEXT))).otherwise("").alias("after"),
-    )
+    texts = documents.select("doc_id", F.xxhash64("text").alias("digest"), F.coalesce("text", F.lit("")).alias("text"))
     kind = dict(documents.dtypes)["doc_id"]
     own = ("head_n", "head_first", "head_last", "tail_n", "tail_first", "tail_last")
+    names = ["doc_id", "digest", "no", *COUNTS, *own, "broken"]
     schema = f"doc_id {kind}, digest bigint, no int, " + ", ".join(f"{c} bigint" for c in (*COUNTS, *own)) + ", broken boolean"
 
+    def counts(part: list[tuple]) -> pd.DataFrame:
+        ids, digests, numbers, before, cores, after = map(list, zip(*part, strict=True))
+        got = chunk_counts(before, cores, after)
+        return got.assign(doc_id=pd.Series(ids, dtype=object), digest=digests, no=numbers)[names]
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, size = [], 0
         for b in batches:
-            size = np.cumsum(b["core"].str.len().to_numpy()) // 1_000_000
-            for _, part in b.groupby(size, sort=False):
-                got = chunk_counts(list(part["before"]), list(part["core"]), list(part["after"]))
-                ids = part[["doc_id", "digest", "no"]].reset_index(drop=True)
-                yield pd.concat([ids, got], axis=1)[["doc_id", "digest", "no", *COUNTS, *own, "broken"]]
-
-    counted = pieces.mapInPandas(count, schema)
+            for doc, digest, text in zip(b["doc_id"], b["digest"], b["text"], strict=True):
+                for no in range(max(1, -(-len(text) // chunk))):
+                    at = no * chunk
+                    core = text[at : at + chunk]
+                    part.append((doc, digest, no, text[max(0, at - CONTEXT) : at], core, text[at + chunk : at + chunk + CONTEXT]))
+                    size += len(core) + 2 * CONTEXT
+                    if size >= 1_000_000:
+                        yield counts(part)
+                        part, size = [], 0
+        if part:
+            yield counts(part)
+
+    counted = texts.mapInPandas(count, schema)
     st = lambda p: F.struct(F.col(f"{p}_n").alias("n"), F.col(f"{p}_first").alias("f"), F.col(f"{p}_last").alias("e"))
     opened = counted.withColumn("open", F.struct(F.struct(*_LINE).alias("sums"), "broken", st("head").alias("head"), st("tail").alias("tail")))
     partials = opened.select("doc_id", "digest", (F.col("no") / run).cast("int").alias("run"), "no", "open", *[c for c in COUNTS if c not in _LINE]).dropDuplicates(["doc_id", "digest", "no"])
