@@ -345,11 +345,23 @@ def person_units(rows: DataFrame, threshold: float = 0.2, link: float = 0.55, me
     parts = components(pairs.where(F.col("score") >= link), "a", "b")
     inside = pairs.join(parts.select(F.col("node").alias("a"), "component"), "a").join(parts.select(F.col("node").alias("b"), F.col("component").alias("_c")), "b").where("component = _c")
 
-    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        name = average_linkage(list(part[["a", "b", "score"]].itertuples(index=False, name=None)), mean)
-        return pd.DataFrame({"unit": list(name), "person": list(name.values())})
-
-    grouped = inside.select("component", "a", "b", "score").groupBy("component").applyInPandas(run, "unit string, person string")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, now = [], None
+        for batch in batches:
+            done = []
+            for c, *pair in batch.itertuples(index=False, name=None):
+                if c != now:
+                    done += average_linkage(part, mean).items()
+                    part, now = [], c
+                part.append(tuple(pair))
+            if done:
+                yield pd.DataFrame(done, columns=["unit", "person"])
+        if part:
+            yield pd.DataFrame(list(average_linkage(part, mean).items()), columns=["unit", "person"])
+
+    # components come sorted, so one at a time is held; small ones need no frame of their own
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grouped = inside.select("component", "a", "b", "score").repartition(tasks, "component").sortWithinPartitions("component", "a", "b").mapInPandas(run, "unit string, person string")
     people = units.select("unit").join(grouped, "unit", "left").select("unit", F.coalesce("person", "unit").alias("person"))
     return units, people
 

@@ -16,6 +16,27 @@ def p2_found(spark, d):
     return linkage.matches(table(spark, d, "roster_entries"), table(spark, d, "player_candidates")).select("candidate_id", "entry_id")
 
 
+def p1_people(spark, d):
+    return people.people_of(table(spark, d, "player_candidates"))
+
+
+def p2_matches(spark, d):
+    return linkage.matches(table(spark, d, "roster_entries"), table(spark, d, "player_candidates"))
+
+
+def p3_plain_comments(spark, d):
+    return lookalikes.lookalike_rows(table(spark, d, "scout_comments"), "id", "comment").select("record_id", "plain")
+
+
+def p5_survivors(spark, d):
+    best = survivors.survivors(table(spark, d, "player_candidates"))
+    return best.select("name", "team", "keep_id", "copies", *[F.col(f"{f}.value").alias(f) for f in survivors.FIELDS])
+
+
+def p9_coverage(spark, d):
+    return leakage.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
 def p3_found(spark, d):
     comments = lookalikes.lookalike_rows(table(spark, d, "scout_comments"), "id", "comment")
     names = lookalikes.lookalike_rows(table(spark, d, "player_candidates"), "id", "name")
@@ -62,7 +83,7 @@ def p10_statistics(spark, d):
     return quality.ratios(quality.text_statistics(table(spark, d, "documents"))).select("doc_id", "words", "lines", *quality.FEATURES, *quality.RULES)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p3_name_skeletons, p4_found, p4_stories, p5_found, p7_found, p7_copies, p8_containers, p9_found, p10_found, p10_statistics)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_people, p2_found, p2_matches, p3_found, p3_name_skeletons, p3_plain_comments, p4_found, p4_stories, p5_found, p5_survivors, p7_found, p7_copies, p8_containers, p9_found, p9_coverage, p10_found, p10_statistics)}
 
 _ORDER = "(case when trim(player_id) <> '' then 0 else 1 end), (case status when 'promoted' then 1 when 'approved' then 2 when 'pending' then 3 when 'rejected' then 4 else 5 end), -coalesce(source_count, 0), created_at asc nulls last, id"
 _BLANK = {f: f"nullif(regexp_replace(cast({f} as varchar), '[\\s\\x{{3000}}]+', '', 'g'), '')" for f in survivors.FIELDS} | {"positions": "case when len(positions) > 0 then 'x' end"}
