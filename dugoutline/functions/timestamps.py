@@ -246,16 +246,28 @@ def utc_instant(sources: list[Column], zone: Column, offset: Column, home: str =
     Nulls, blanks and placeholders are unreadable; fractions are dropped; clocks to 47:59 run into the
     next day; a date without clock is 00:00; an own offset or zone beats ``zone``, which beats ``home``.
     """
+    return F.timestamp_seconds(_converted(sources, zone, offset, home, "long"))
+
+
+def utc_text(sources: list[Column], zone: Column, offset: Column, home: str = HOME_ZONE) -> Column:
+    """``utc_instant`` as yyyy-MM-ddTHH:mm:ssZ, whatever the session's zone."""
+    return _converted(sources, zone, offset, home, "string")
+
+
+def _converted(sources: list[Column], zone: Column, offset: Column, home: str, kind: str) -> Column:
     n = len(sources)
 
-    @F.pandas_udf("long")
+    @F.pandas_udf(kind)
     def convert(x: pd.DataFrame) -> pd.Series:
         lists = [[v if isinstance(v, str) else None for v in x[f"c{i}"]] for i in range(n + 2)]
         got = first_readable(lists[:n], lists[n], lists[n + 1], home)
-        return pd.Series(got, dtype="Int64").mask(got == UNREADABLE)
+        unread = got == UNREADABLE
+        if kind == "long":
+            return pd.Series(got, dtype="Int64").mask(unread)
+        text = np.datetime_as_string(np.where(unread, 0, got).astype("datetime64[s]"))
+        return pd.Series([None if u else f"{t}Z" for t, u in zip(text, unread, strict=True)], dtype=object)
 
-    packed = F.struct(*[c.cast("string").alias(f"c{i}") for i, c in enumerate([*sources, zone, offset])])
-    return F.timestamp_seconds(convert(packed))
+    return convert(F.struct(*[c.cast("string").alias(f"c{i}") for i, c in enumerate([*sources, zone, offset])]))
 
 
 def article_instants(articles: DataFrame, home: str = HOME_ZONE) -> DataFrame:
@@ -268,5 +280,5 @@ def article_instants(articles: DataFrame, home: str = HOME_ZONE) -> DataFrame:
         "id", "published_at",
         F.get_json_object("raw", "$.date").alias("_date"), F.get_json_object("raw", "$.tz").alias("_tz"), F.get_json_object("raw", "$.utc_offset").alias("_offset"),
     )
-    at = said.select(F.col("id").alias("article_id"), utc_instant([F.col("_date"), F.col("published_at")], F.col("_tz"), F.col("_offset"), home).alias("at"))
-    return at.where("at is not null").select("article_id", F.date_format(F.to_utc_timestamp("at", F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("published_utc"))
+    at = utc_text([F.col("_date"), F.col("published_at")], F.col("_tz"), F.col("_offset"), home)
+    return said.select(F.col("id").alias("article_id"), at.alias("published_utc")).where("published_utc is not null")
