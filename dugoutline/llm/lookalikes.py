@@ -33,8 +33,8 @@ _TABLE = {ord(k): v for k, v in {**LETTERS, **SIGNS}.items()}
 _SPACES = re.compile(r"[^\S\t\n\r ]")
 _DASH = re.compile(f"([ァ-ヺーｦ-ﾟ]|[カ-ト]\u3099|[ハ-ホ][\u3099\u309a])?[{DASHES}]")
 _BETWEEN = re.compile(r"(?<=[ァ-ヺー])[力口工夕八卜二一へべぺ](?=[ァ-ヺー])")
-_START = re.compile(r"(?<![ァ-ヺー一-鿿])[力口工夕卜](?=[ァ-ヺー])(?!コミ|ポイ)|(?<![ァ-ヺー])[二八一へべぺ](?=[ーンッァィゥェォャュョ][ァ-ヺー])")
-_END = re.compile(r"(?<=[ァ-ヺー])(?:[口夕](?![一-鿿ァ-ヺー])|卜)")
+_START = re.compile(r"(?<![ァ-ヺー一-鿿])[力口工夕卜](?=[ァ-ヺー])(?!コミ|ポイ)|(?<![ァ-ヺー])[力口工夕卜](?=[ーンッァィゥェォャュョ])|(?<![ァ-ヺー])[二八一へべぺ](?=[ーンッァィゥェォャュョ][ァ-ヺー])")
+_END = re.compile(r"(?<=[ァ-ヺー])(?:[口夕](?![一-鿿ァ-ヺー])|卜|一(?=[はがをのもとでにへや、。」]))")
 _INSIDE_NUMBER = re.compile(r"(?<=\d)[OolI](?=\d)")
 
 #: Rows that match may hold a case; all others are plain (Java regex).
@@ -67,7 +67,8 @@ def _plain_udf(text: Column | str) -> Column:
     def run(x: pd.Series) -> pd.Series:
         return x.map(lambda t: None if t is None else plain(t))
 
-    return run(text)
+    # a filter on the result must not run it a second time
+    return run.asNondeterministic()(text)
 
 
 def plain_form(text: Column) -> Column:

@@ -6,7 +6,7 @@ from dugoutline.llm import lookalikes as K
     ("text", "plain"),
     [
         ("ＭＬＢの１球", "MLBの1球"), ("ｶｰﾌﾞ", "カーブ"), ("ガ", "ガ"), ("OРS", "OPS"), ("見​﻿逃し", "見逃し"), ("変化\U000e0101球", "変化球"), ("力ーブと", "カーブと"), ("プ口でも", "プロでも"),
-        ("ス卜レ一ト", "ストレート"), ("へッド", "ヘッド"), ("カ―ブ", "カーブ"), ("a b　c", "a b c"), ("⼒負け", "力負け"), ("年年", "年年"), ("リリ－ス", "リリース"),
+        ("ス卜レ一ト", "ストレート"), ("へッド", "ヘッド"), ("カ―ブ", "カーブ"), ("a b　c", "a b c"), ("⼒負け", "力負け"), ("年年", "年年"), ("リリ－ス", "リリース"), ("スライダ一は", "スライダーは"), ("開幕力ード", "開幕カード"),
     ],
 )
 def test_plain_form(text, plain):
@@ -14,7 +14,7 @@ def test_plain_form(text, plain):
     assert K.skeleton(text) == K.skeleton(plain)
 
 
-@pytest.mark.parametrize("text", ["コントロール力も高い", "ストレート一本で", "スイング二つで", "フェンスへ運ぶ", "口コミ", "國學院の澤村", "B+ 148km - (良い)\t。", "山﨑", "佐々木", ""])
+@pytest.mark.parametrize("text", ["コントロール力も高い", "ストレート一本で", "スイング二つで", "フェンスへ運ぶ", "口コミ", "人口ピラミッド", "入力ミス", "國學院の澤村", "B+ 148km - (良い)\t。", "山﨑", "佐々木", ""])
 def test_plain_text_stays(text):
     assert K.plain(text) == text
 
