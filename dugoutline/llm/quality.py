@@ -182,8 +182,8 @@ def _merged(partials: DataFrame, keys: list[str], order: str) -> DataFrame:
 def text_statistics(documents: DataFrame, chunk: int = 100_000, run: int = 64) -> DataFrame:
     """One row per doc_id with its counts (``COUNTS``).
 
-    A null text counts as empty; an empty one gives zero counts. Rows that repeat a doc_id are one document
-    only if their texts are equal; the counts are of one of them. Other columns are not read.
+    A null text counts as empty; an empty one gives zero counts. Equal rows are one document; of rows that repeat
+    a doc_id with other text, the text of the least digest counts. Other columns are not read.
     """
     texts = documents.select("doc_id", F.xxhash64("text").alias("digest"), F.coalesce("text", F.lit("")).alias("text"))
     kind = dict(documents.dtypes)["doc_id"]
@@ -219,8 +219,8 @@ def text_statistics(documents: DataFrame, chunk: int = 100_000, run: int = 64) -
     merged = _merged(level, ["doc_id", "digest"], "run")
     head = F.when(F.col("open.broken"), _closed(F.col("open.sums"), F.col("open.head"))).otherwise(F.col("open.sums"))
     done = merged.withColumn("_h", head).withColumn("_l", _closed(F.col("_h"), F.col("open.tail")))
-    plain = done.select("doc_id", *[F.col(f"_l.{c}").alias(c) if c in _LINE else F.col(c) for c in COUNTS])
-    return plain.dropDuplicates(["doc_id"])
+    counts_ = F.struct(*[F.col(f"_l.{c}").alias(c) if c in _LINE else F.col(c) for c in COUNTS])
+    return done.groupBy("doc_id").agg(F.min_by(counts_, "digest").alias("_c")).select("doc_id", "_c.*")
 
 
 def ratios(stats: DataFrame) -> DataFrame:
