@@ -267,7 +267,8 @@ def _converted(sources: list[Column], zone: Column, offset: Column, home: str, k
         text = np.datetime_as_string(np.where(unread, 0, got).astype("datetime64[s]"))
         return pd.Series([None if u else f"{t}Z" for t, u in zip(text, unread, strict=True)], dtype=object)
 
-    return convert(F.struct(*[c.cast("string").alias(f"c{i}") for i, c in enumerate([*sources, zone, offset])]))
+    # a filter on the result must not run the conversion a second time
+    return convert.asNondeterministic()(F.struct(*[c.cast("string").alias(f"c{i}") for i, c in enumerate([*sources, zone, offset])]))
 
 
 def article_instants(articles: DataFrame, home: str = HOME_ZONE) -> DataFrame:
