@@ -319,8 +319,7 @@ def pair_representative(spark, d):
 
 
 def _seq_articles(spark, d):
-    a = A.articles(spark, d).where("title is not null and body is not null")
-    return a.select(F.xxhash64("id").alias("seq"), "title", "body", "source")
+    return A.articles(spark, d).select(F.xxhash64("id").alias("seq"), "title", "body", "source")
 
 
 @query()
