@@ -108,11 +108,12 @@ class Bins:
 def pack_rows(rows: pd.DataFrame, capacity: int, per_source: int) -> pd.DataFrame:
     """``rows`` (tokens, digest, source) with ``bin``, packed longest first."""
     rows = rows.sort_values(["tokens", "row", "piece"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
-    copies = rows["digest"].map(rows["digest"].value_counts())
+    # a full piece has a container to itself, so what may lie beside a copy is whole texts and tails
+    copies = rows["digest"].map(rows.loc[rows["tokens"] < capacity, "digest"].value_counts())
     bit = {d: 1 << i for i, d in enumerate(rows["digest"][copies > 1].unique())}
     names = {s: 1 << i for i, s in enumerate(rows["source"].dropna().unique())}
     bins = Bins(capacity, per_source)
-    rows["bin"] = [bins.put(int(n), bit.get(d, 0) if p == 0 else 0, names.get(s, 0)) for n, d, s, p in zip(rows["tokens"], rows["digest"], rows["source"], rows["piece"], strict=True)]
+    rows["bin"] = [bins.put(int(n), bit.get(d, 0), names.get(s, 0)) for n, d, s in zip(rows["tokens"], rows["digest"], rows["source"], strict=True)]
     return rows
 
 

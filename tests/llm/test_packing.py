@@ -47,3 +47,10 @@ def test_fill_on_real_sizes():
 def test_long_text_is_counted_in_steps():
     text = "行の本文です。\n" * 3000
     assert P.count_tokens(PATH, text, step=1000) == pytest.approx(P.count_tokens(PATH, text, step=10**9), rel=0.02)
+
+
+def test_tails_of_copies_lie_apart(spark):
+    docs = [(i, "long text " * 300, None) for i in range(12)] + [(100 + i, f"short {i}", "a") for i in range(5)]
+    got = P.containers(spark.createDataFrame(docs, "doc_id bigint, text string, source string"), PATH, capacity=256).where("doc_id < 100").collect()
+    tails = [(r.container_id, r.piece) for r in got]
+    assert max(p for _, p in tails) > 0 and len(set(tails)) == len(tails)
