@@ -18,8 +18,8 @@ from dugoutline.session import checkpointed
 
 #: Signs that rate (B+, B-) stay; a point inside a number stays; all other signs and space go.
 _SIGN_KEPT = r"(?<=[\p{L}\p{N}])[+\-](?![\p{L}\p{N}])"
-_ENTRY_ENDS = r"[、,;/|。\n]+|(?<![0-9])\.|\.(?![0-9])"
-_ENTRY = r"^\s*[^\s:=・、]{1,20}?\s*[:=・\s]\s*[\p{L}\p{N}]{1,12}[+\-]?\s*$"
+_ENTRY_ENDS = r"[、,;/|。，；／｜\n]+|(?<![0-9])\.|\.(?![0-9])"
+_ENTRY = r"^\s*[^\s:=：＝・、]{1,20}?\s*[:=：＝・\s]\s*[\p{L}\p{N}]{1,12}[+\-]?\s*$"
 _QUOTES = "[「」『』【】\"'“”‘’<>()\\[\\]]"
 
 
@@ -36,7 +36,7 @@ def with_canonical(df: DataFrame, comment: str = "comment", out: str = "canonica
     The steps are columns of their own, so that each is computed once.
     """
     low, entries, is_list = F.col("_low"), F.col("_entries"), F.col("_is_list")
-    tidy = F.transform(entries, lambda e: F.concat_ws("=", *[_squeezed(F.regexp_extract(e, r"^\s*([^\s:=・、]{1,20}?)\s*[:=・\s]\s*(\S+)\s*$", k)) for k in (1, 2)]))
+    tidy = F.transform(entries, lambda e: F.concat_ws("=", *[_squeezed(F.regexp_extract(e, r"^\s*([^\s:=：＝・、]{1,20}?)\s*[:=：＝・\s]\s*(\S+)\s*$", k)) for k in (1, 2)]))
     steps = df.withColumn("_low", F.lower(comment)).withColumn("_entries", F.filter(F.split(F.regexp_replace(low, _QUOTES, ""), _ENTRY_ENDS), lambda e: F.trim(e) != ""))
     steps = steps.withColumn("_is_list", (F.size(entries) >= 2) & F.forall(entries, lambda e: e.rlike(_ENTRY)))
     text = F.when(is_list, F.concat(F.lit("\u0003"), F.array_join(F.array_sort(tidy), ";"))).otherwise(_squeezed(low))

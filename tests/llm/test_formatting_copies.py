@@ -35,6 +35,12 @@ def test_canonical_forms(spark):
     assert len({key[i] for i in range(8, len(texts))}) == len(other)
 
 
+def test_full_width_separators_make_a_list(spark):
+    texts = ["直球:5、肩:3、MAX:148km", "肩：3；直球＝5，MAX：148km", "直球：5／肩:3｜MAX＝148km", "直球：3／肩：5／MAX：148km"]
+    key = {r.i: r.k for r in C.with_canonical(spark.createDataFrame(list(enumerate(texts)), "i int, comment string"), out="k").collect()}
+    assert key[0] == key[1] == key[2] != key[3]
+
+
 def test_pairs(spark):
     rows = [("a", "p", None, "x", "良い。"), ("b", "p", "c", "y", "「良い」"), ("c", None, "p", None, "良い"), ("d", None, None, None, "良い"), ("e", "q", None, None, None), ("f", "q", None, None, "…"), ("g", "q", None, None, "!"), ("b", "p", "c", "y", "「良い」"), ("h", None, " ", "x", "良い"), ("i", None, None, "x", "良い")]
     assert {tuple(r) for r in C.formatting_pairs(frame(spark, rows)).collect()} == {("a", "b"), ("h", "i")}
