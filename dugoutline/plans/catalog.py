@@ -51,7 +51,28 @@ def p6_found(spark, d):
 _TITLE = "nullif(lower(regexp_replace(coalesce(title, ''), '[\\s\\x{3000}]', '', 'g')), '')"
 
 
+def _dated_articles(spark, d) -> DataFrame:
+    """Articles with the instant of publication as text in UTC; null where it can't be read."""
+    a = A.articles(spark, d)
+    at = article_instants(a).groupBy("article_id").agg(F.max("published_utc").alias("published_at"))
+    return a.select(F.col("id").alias("article_id"), "url", "title", "source", "category").join(at, "article_id", "left")
+
+
+def _instant_text(ts):
+    """UTC text of a timestamp, whatever the session's zone."""
+    s = F.pmod(F.floor(F.unix_micros(ts) / 1_000_000), F.lit(86_400)).cast("int")
+    clock = [F.lpad(F.floor(x).cast("string"), 2, "0") for x in (s / 3600, s % 3600 / 60, s % 60)]
+    return F.concat(day(ts).cast("string"), F.lit("T"), clock[0], F.lit(":"), clock[1], F.lit(":"), clock[2], F.lit("Z"))
+
+
+def _comment_items(spark, d, art) -> DataFrame:
+    c = A.comments(spark, d).where("player_id is not null or player_candidate_id is not null").withColumn("_said", _instant_text(F.col("published_at"))).drop("published_at")
+    with_article = c.join(art.withColumnRenamed("category", "a_category"), F.col("source_url") == F.col("url"), "left")
+    return timeline.branch(with_article, "scout_comment", player_id=F.col("player_id"), player_candidate_id=F.col("player_candidate_id"), crawled_article_id=F.col("article_id"), source_url=F.col("source_url"), title=F.col("title"), published_at=F.coalesce("_said", "published_at"), source=F.col("source"), category=F.col("a_category"), body=F.concat_ws(" ", "team_name", "scout_name", "comment"), created_at=F.col("created_at"))
+
+
 def _timeline(spark, d, strict=False) -> DataFrame:
+    """Items as the SQL tells them, which doesn't order by the time of publication; ``timeline_full`` does."""
     art = A.articles(spark, d).select(F.col("id").alias("article_id"), "url", "title", "source", "category", "published_at")
     ev = A.evidence(spark, d)
     by_id = ev.join(art.select(F.col("article_id").alias("_a"), "title", "source", "category", "published_at"), F.col("article_id") == F.col("_a"), "left")
@@ -607,16 +628,16 @@ def newest_per_key(spark, d):
 @query()
 def timeline_full(spark, d):
     """All five kinds of items: candidate and registered-player news, comments, attention, profile pages."""
-    art = A.articles(spark, d).select(F.col("id").alias("article_id"), "url", "title", "source", "category")
+    art = _dated_articles(spark, d)
     ev = A.evidence(spark, d)
-    told = ev.join(art.select(F.col("article_id").alias("_a"), "title", "source", "category"), F.col("article_id") == F.col("_a"), "left")
-    common = {"crawled_article_id": F.col("article_id"), "source_url": F.col("url"), "title": F.col("title"), "source": F.col("source"), "category": F.col("category"), "body": F.col("name"), "confidence": F.col("confidence"), "created_at": F.col("created_at"), "player_id": F.col("player_id")}
+    told = ev.join(art.select(F.col("article_id").alias("_a"), "title", "source", "category", "published_at"), F.col("article_id") == F.col("_a"), "left")
+    common = {"crawled_article_id": F.col("article_id"), "source_url": F.col("url"), "title": F.col("title"), "published_at": F.col("published_at"), "source": F.col("source"), "category": F.col("category"), "body": F.col("name"), "confidence": F.col("confidence"), "created_at": F.col("created_at"), "player_id": F.col("player_id")}
     news = timeline.branch(told.where("player_id is null"), "candidate", player_candidate_id=F.col("candidate_id"), **common).unionByName(timeline.branch(told.where("player_id is not null"), "player_article", **common))
     person = ev.where("article_id is not null").groupBy("article_id").agg(F.min_by(F.struct("player_id", "candidate_id"), F.struct(F.col("player_id").isNull(), F.col("created_at"), F.col("id"))).alias("_p"))
-    seen = _attention(spark, d).join(art, F.col("id") == F.col("article_id")).drop("id").join(person, "article_id")
-    attention = timeline.branch(seen, "attention", player_id=F.col("_p.player_id"), player_candidate_id=F.col("_p.candidate_id"), crawled_article_id=F.col("article_id"), source_url=F.col("url"), title=F.col("title"), source=F.col("source"), category=F.col("category"), body=F.col("sentence"), score=F.col("score"))
+    seen = _attention(spark, d).join(art, F.col("id") == F.col("article_id")).drop("id").join(person, "article_id").where("_p.player_id is not null or _p.candidate_id is not null")
+    attention = timeline.branch(seen, "attention", player_id=F.col("_p.player_id"), player_candidate_id=F.col("_p.candidate_id"), crawled_article_id=F.col("article_id"), source_url=F.col("url"), title=F.col("title"), published_at=F.col("published_at"), source=F.col("source"), category=F.col("category"), body=F.col("sentence"), score=F.col("score"))
     pages = timeline.branch(table(spark, d, "players"), "site_article", player_id=F.col("id"), title=F.col("name"), source=F.lit("profile"), category=F.col("category"), created_at=F.col("created_at"))
-    quoted = _timeline(spark, d).where("item_type = 'scout_comment'")
+    quoted = _comment_items(spark, d, art)
     return timeline.news_once(news, AGGREGATOR).unionByName(quoted).unionByName(attention).unionByName(pages).orderBy(F.desc_nulls_last("created_at"), "item_type", "player_id", "body")
 
 
