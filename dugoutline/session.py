@@ -15,8 +15,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read back from there.
 
-    The folder is the session's ``spark.checkpoint.dir``; a machine-local folder is set only where
-    the session names none and runs in one process (tests).
+    The folder is the session's ``spark.checkpoint.dir``; one of this machine's is set only where the session
+    names none and all of it runs in this process (tests).
     """
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
@@ -27,6 +27,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` marked to be joined by sorting both sides, whatever size the optimizer expects.
+
+    Rows that were exploded count as no larger than what they came from, so a join of them may be planned as a
+    broadcast of any size.
+    """
+    return df.hint("merge")
+
+
 def empty_like(spark: SparkSession, schema: str) -> DataFrame:
     """A DataFrame of ``schema`` without rows."""
     return spark.createDataFrame([], schema)
