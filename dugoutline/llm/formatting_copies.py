@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dugoutline.session import checkpointed
+from dugoutline.session import checkpointed, shuffled
 
 #: Signs that rate (B+, B-) stay; a point inside a number stays; all other signs and space go.
 _SIGN_KEPT = r"(?<=[\p{L}\p{N}])[+\-](?![\p{L}\p{N}])"
@@ -138,32 +138,28 @@ def _count_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield _emit(trie)
 
 
-def radix_buckets(keys: DataFrame, fits: int, step: int = 2, levels: int = 64) -> DataFrame:
-    """``keys`` (binary column ``key``) with ``bucket``: the shortest prefix whose rows fit.
+#: Prefixes to split that are broadcast at most; more are joined by sorting.
+SPLIT_AT_ONCE = 100_000
 
-    Each level counts only the rows of buckets still too large, by ``step`` bytes more. A bucket whose
-    keys all end in its prefix can't be split and is final: copies were collapsed before, so what is left
-    of one key is at most a row for each partial trie. The prefixes to split are few (at most rows / fits).
+
+def radix_buckets(keys: DataFrame, fits: int, step: int = 2) -> DataFrame:
+    """``keys`` (binary column ``key``) with ``bucket``: a prefix whose rows fit.
+
+    Each level splits the buckets still too large by further bytes, twice as many as the level before, so keys that
+    are alike for long take few levels. A bucket whose keys all end in its prefix can't be split and is final:
+    copies were collapsed before, so what is left of one key is at most a row for each partial trie.
     """
-    prefix = lambda d: F.hex(F.expr(f"substring(key, 1, {d})"))
-    depth, bucket, rest = step, prefix(step), keys
-    for _ in range(levels):
-        sizes = rest.groupBy(prefix(depth).alias("_p")).agg(F.count("*").alias("_n"), F.max(F.length("key")).alias("_l"))
-        large = [r["_p"] for r in sizes.where((F.col("_n") > fits) & (F.col("_l") > depth)).select("_p").collect()]
-        if not large:
-            break
-        split = prefix(depth).isin(large) if len(large) <= 1000 else None
-        if split is None:
-            big = F.broadcast(keys.sparkSession.createDataFrame([(p,) for p in large], "_p string"))
-            rest = rest.join(big, prefix(depth) == F.col("_p"), "left_semi")
-            keys = keys.withColumn("_b", bucket).join(big.withColumn("_s", F.lit(1)), prefix(depth) == F.col("_p"), "left")
-            keys = keys.withColumn("_b", F.when(F.col("_s") == 1, prefix(depth + step)).otherwise(F.col("_b"))).drop("_p", "_s")
-            bucket = F.col("_b")
-        else:
-            rest = rest.where(split)
-            bucket = F.when(split, prefix(depth + step)).otherwise(bucket)
+    depth, out = step, keys.withColumn("bucket", F.expr(f"substring(key, 1, {step})"))
+    while True:
+        level = out.where(F.length("bucket") == depth).groupBy("bucket").agg(F.count("*").alias("_n"), F.max(F.length("key")).alias("_l"))
+        large = checkpointed(level.where((F.col("_n") > fits) & (F.col("_l") > depth)).select("bucket", F.lit(True).alias("_large")))
+        n = large.count()
+        if not n:
+            return out
         depth += step
-    return keys.withColumn("bucket", bucket)
+        step *= 2
+        split = F.broadcast(large) if n <= SPLIT_AT_ONCE else shuffled(large)
+        out = out.join(split, "bucket", "left").withColumn("bucket", F.when(F.col("_large"), F.expr(f"substring(key, 1, {depth})")).otherwise(F.col("bucket"))).drop("_large")
 
 
 def collapse(keys: DataFrame, fits: int = 200_000, flush: int = 50_000) -> DataFrame:

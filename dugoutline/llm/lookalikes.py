@@ -14,12 +14,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Cyrillic, Greek and other letters drawn like Latin ones, then signs and dashes.
-LETTERS = dict(zip(
-    "АВЕЗКМНОРСТУХЅІЈЬаеорсухѕіјһԁԛԝѵкмнтвгпЁёЇї" "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαιοκνρτυχγϲϳ" "ԌԍҮүҺӀӏԚԜҒғ" "ոսօցհքԼՍՏՕ" "ıȷɑɡɩʏɪʀɢʙʜʟꓐꓑꓔꓗꓜꓝꓟꓠꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ",
-    "ABE3KMHOPCTYXSIJbaeopcyxsijhdqwvkmhtbrnEeIi" "ABEZHIKMNOPTYXaiokvptuxycj" "GgYyhIlQWFf" "nuoghpLUSO" "ijagiyIRGBHLBPTKZFMNSRVHWXYAEIOU",
-    strict=True,
-))
+#: Letters drawn like plain ones, by script, each followed by its prototype; in the order of code points.
+LOOK_ALIKES = {
+    "Cyrillic": "ЁE ЅS ІI ЇI ЈJ АA ВB ЕE З3 КK МM НH ОO РP СC ТT УY ХX Ьb аa вb гr еe кk мm нh оo пn рp сc тt уy хx ёe ѕs іi їi јj ѵv ҒF ғf ҮY үy Һh һh ӀI ӏl ԁd ԌG ԍg ԚQ ԛq ԜW ԝw",
+    "Greek": "ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX αa γy ιi κk νv οo ρp τt υu χx ϲc ϳj",
+    "Armenian": "ԼL ՍU ՏS ՕO հh ոn սu ցg քp օo",
+    "Cherokee": "ᎠD ᎡR ᎢT ᎥI ᎩY ᎪA ᎫJ ᎬE ᎳW ᎷM ᎻH ᏀG ᏂH ᏃZ ᏏB ᏒR ᏔW ᏙV ᏚS ᏞL ᏟC ᏢP ᏦK ᏧD ᏳG ᏴB",
+    "Lisu": "ꓐB ꓑP ꓔT ꓗK ꓜZ ꓝF ꓟM ꓠN ꓢS ꓣR ꓦV ꓧH ꓪW ꓫX ꓬY ꓮA ꓰE ꓲI ꓳO ꓴU",
+    "Latin": "ıi ȷj ɑa ɡg ɢG ɩi ɪI ʀR ʏy ʙB ʜH ʟL",
+}
+LETTERS = {pair[0]: pair[1:] for pairs in LOOK_ALIKES.values() for pair in pairs.split()}
+# Signs and dashes drawn like plain ones.
 SIGNS = {
     "‘": "'", "’": "'", "‚": ",", "‛": "'", "′": "'", "ʼ": "'", "ʹ": "'", "`": "`", "“": '"', "”": '"', "„": '"', "‟": '"', "″": '"', "〝": '"', "〟": '"',
     "⁄": "/", "∕": "/", "∶": ":", "ː": ":", "։": ":", "․": ".", "‧": "・", "·": "・", "•": "・", "∙": "・", "⋅": "・", "‹": "<", "›": ">", "〈": "<", "〉": ">",
@@ -62,33 +67,35 @@ def skeleton(text: str) -> str:
     return unicodedata.normalize("NFD", plain(text))
 
 
-def _plain_udf(text: Column | str) -> Column:
-    @F.pandas_udf("string")
-    def run(x: pd.Series) -> pd.Series:
-        return x.map(lambda t: None if t is None else plain(t))
+def _forms(text: Column | str) -> Column:
+    """(skeleton, plain) of a text."""
+
+    @F.pandas_udf("skeleton string, plain string")
+    def run(x: pd.Series) -> pd.DataFrame:
+        forms = [None if t is None else plain(t) for t in x]
+        return pd.DataFrame({"skeleton": pd.Series([None if p is None else unicodedata.normalize("NFD", p) for p in forms], dtype=object), "plain": pd.Series(forms, dtype=object)})
 
     # a filter on the result must not run it a second time
     return run.asNondeterministic()(text)
 
 
-def plain_form(text: Column) -> Column:
-    """``plain`` as a column; only texts that may change go to Python. Null stays null."""
-    return F.when(text.rlike(SUSPECT), _plain_udf(text)).otherwise(text)
-
-
 def lookalike_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(record_id, text, plain) of the rows whose text has a look-alike or unseen character.
+    """(record_id, text, skeleton, plain) of the rows whose text has a look-alike or unseen character.
 
-    Nulls and blanks are no case; repeated rows each give a row. An empty table gives none.
+    Texts of one skeleton are one group, and its plain text is the composed skeleton; a row is a case if its text is
+    another one of the group. The skeleton tells the plain text, so that needs no other row of the group. Nulls and
+    blanks are no case; repeated rows each give a row. An empty table gives none.
     """
     suspects = df.select(F.col(id_col).alias("record_id"), F.col(text_col).alias("text")).where(F.col("text").rlike(SUSPECT))
-    return suspects.withColumn("plain", _plain_udf("text")).where("plain <> text")
+    return suspects.withColumn("_forms", _forms("text")).select("record_id", "text", "_forms.*").where("plain <> text")
 
 
 def skeleton_groups(df: DataFrame, text_col: str) -> DataFrame:
-    """Spellings that look alike: one row per plain form with its spellings' number and rows.
+    """Spellings that look alike: one row per skeleton with its plain form, its spellings' number and rows.
 
-    Equal texts are counted before forms are gathered, so a hot text is one row in the shuffle.
+    Equal texts are counted before skeletons are gathered, so a hot text is one row in the shuffle. Null texts are
+    left out; an empty table gives no row.
     """
     spelt = df.where(F.col(text_col).isNotNull()).groupBy(F.col(text_col).alias("text")).agg(F.count("*").alias("n"))
-    return spelt.groupBy(plain_form(F.col("text")).alias("plain")).agg(F.count("*").alias("spellings"), F.sum("n").alias("records"))
+    formed = spelt.withColumn("_forms", _forms("text")).select("_forms.*", "n")
+    return formed.groupBy("skeleton").agg(F.first("plain").alias("plain"), F.count("*").alias("spellings"), F.sum("n").alias("records")).drop("skeleton")

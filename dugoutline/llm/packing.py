@@ -14,6 +14,7 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,17 +44,18 @@ def encoder(path: str):
 
 
 def count_tokens(path: str, text: str, step: int = 200_000) -> int:
-    """Tokens of a text; a very long one is measured in steps that end at line breaks where there are any."""
+    """Tokens of a text. A very long one is measured in steps that end where a word of the tokenizer's pattern does,
+    over which no merge goes, so the count is that of the whole text."""
     own = encoder(path)
     if len(text) <= step:
         return len(own.encode_ordinary(text))
-    total, at = 0, 0
-    while at < len(text):
-        end = min(len(text), at + step)
-        if end < len(text) and (cut := text.rfind("\n", at + 1, end)) > 0:
-            end = cut
-        total += len(own.encode_ordinary(text[at:end]))
-        at = end
+    import public_tokenizers
+
+    total = at = 0
+    for word in regex.finditer(public_tokenizers.PATTERN, text):
+        if word.end() - at >= step or word.end() == len(text):
+            total += len(own.encode_ordinary(text[at : word.end()]))
+            at = word.end()
     return total
 
 

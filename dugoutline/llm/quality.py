@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from dugoutline.session import checkpointed
 
 CONTEXT = 64
+#: Texts are compressed in blocks of so many characters, counted from their start, wherever chunks are cut.
+BLOCK = 100_000
 # Common English words of at most six letters; Japanese particles; signs.
 COMMON = "the a an of to in and for that on with at from by as was is it his her he she they but who has had after when which this than be not or its their one said before were are have them him you we i if so no up out into about".split()
 PARTICLES = "はがをにでとへもや"
@@ -64,8 +66,13 @@ def _word_codes(lower: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.
 _COMMON = np.sort(np.array([_word_codes(np.frombuffer(w.encode("utf-32-le"), dtype=np.uint32), np.array([0]), np.array([len(w)]))[0] for w in COMMON if len(w) <= 6]))
 
 
+def squeezed_size(text: str, at: int, end: int) -> int:
+    """Compressed bytes of the blocks of ``text`` that begin in [at, end)."""
+    return sum(len(zlib.compress(text[b : b + BLOCK].encode("utf-8", "surrogatepass"), 1)) for b in range(-(-at // BLOCK) * BLOCK, end, BLOCK))
+
+
 def chunk_counts(before: list[str], cores: list[str], after: list[str]) -> pd.DataFrame:
-    """Counts of each chunk and the states of its open lines."""
+    """Counts of each chunk and the states of its open lines; ``squeezed`` is counted on the whole text."""
     k = len(cores)
     nb, nc, na = (np.array([len(x) for x in part], dtype=np.int64) for part in (before, cores, after))
     whole = "\u0000".join(x for three in zip(before, cores, after, strict=True) for x in ("".join(three),)) + "\u0000"
@@ -111,7 +118,6 @@ def chunk_counts(before: list[str], cores: list[str], after: list[str]) -> pd.Da
     flag[r0[long_]] = 1
     flag[r1[long_]] -= 1
     out["long_run"] = total(np.cumsum(flag[:-1]).astype(bool))
-    out["squeezed"] = np.array([len(zlib.compress(c.encode("utf-8", "surrogatepass"), 1)) for c in cores], dtype=np.int64)
     # lines: a new one after each newline and at each chunk
     seen = np.flatnonzero(((t & S) == 0) & core)
     brk = np.concatenate([[0], np.cumsum(((t & N) != 0) & core)])
@@ -192,9 +198,9 @@ def text_statistics(documents: DataFrame, chunk: int = 100_000, run: int = 64) -
     schema = f"doc_id {kind}, digest bigint, no int, " + ", ".join(f"{c} bigint" for c in (*COUNTS, *own)) + ", broken boolean"
 
     def counts(part: list[tuple]) -> pd.DataFrame:
-        ids, digests, numbers, before, cores, after = map(list, zip(*part, strict=True))
+        ids, digests, numbers, squeezed, before, cores, after = map(list, zip(*part, strict=True))
         got = chunk_counts(before, cores, after)
-        return got.assign(doc_id=pd.Series(ids, dtype=object), digest=digests, no=numbers)[names]
+        return got.assign(doc_id=pd.Series(ids, dtype=object), digest=digests, no=numbers, squeezed=squeezed)[names]
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, size = [], 0
@@ -203,7 +209,7 @@ def text_statistics(documents: DataFrame, chunk: int = 100_000, run: int = 64) -
                 for no in range(max(1, -(-len(text) // chunk))):
                     at = no * chunk
                     core = text[at : at + chunk]
-                    part.append((doc, digest, no, text[max(0, at - CONTEXT) : at], core, text[at + chunk : at + chunk + CONTEXT]))
+                    part.append((doc, digest, no, squeezed_size(text, at, at + max(1, len(core))), text[max(0, at - CONTEXT) : at], core, text[at + chunk : at + chunk + CONTEXT]))
                     size += len(core) + 2 * CONTEXT
                     if size >= 1_000_000:
                         yield counts(part)
@@ -270,8 +276,10 @@ def text_kinds(documents: DataFrame, labels: DataFrame, sample: int = 20_000) ->
     labelled rows, chosen by hash of their id. Without labels of both kinds two failed rules decide.
     """
     known = checkpointed(ratios(text_statistics(documents)))
-    marked = labels.where("label is not null").select("doc_id", (F.col("label") != "prose").cast("int").alias("_y"))
-    rows = known.join(marked, "doc_id").select(F.array(*_inputs()).alias("x"), "_y", F.xxhash64("doc_id").alias("_h")).orderBy("_h", "_y").limit(sample).toPandas()
+    marked = labels.where("label is not null").select("doc_id", (F.col("label") != "prose").cast("int").alias("_y"), F.xxhash64("doc_id").alias("_h"))
+    # the sample is taken before the join, so what is broadcast and collected is at most ``sample`` rows
+    chosen = checkpointed(marked.orderBy("_h", "_y").limit(sample))
+    rows = known.join(F.broadcast(chosen), "doc_id").select(F.array(*_inputs()).alias("x"), "_y", "_h").orderBy("_h", "_y").toPandas()
     failed = sum((F.col(r).cast("int") for r in RULES), F.lit(0))
     if rows["_y"].nunique() < 2:
         score = F.when(failed >= 2, 0.9).otherwise(0.1)

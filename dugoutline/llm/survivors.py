@@ -18,7 +18,8 @@ FIELDS = ("name_kana", "category", "school_year", "positions", "throws", "bats",
 
 @dataclass(frozen=True)
 class Votes:
-    """Trust of a status times decay of age; ``merge_order`` ranks rows strictly instead of adding votes."""
+    """Trust of a status, more for more sources, times decay of age; ``merge_order`` ranks rows strictly instead of
+    adding votes."""
 
     merge_order: bool = False
     trust: dict[str, float] = field(default_factory=lambda: {"promoted": 4.0, "approved": 3.0, "pending": 1.5, "rejected": 0.5})
@@ -57,7 +58,8 @@ def survivors(df: DataFrame, keys: tuple[str, ...] = ("name", "team"), fields: t
     """
     known = df.where(" and ".join(f"`{k}` is not null" for k in keys))
     age = F.greatest(F.lit(0), F.datediff(F.lit(votes.as_of).cast("date"), F.to_date("created_at")))
-    weight = F.coalesce(F.create_map(*[F.lit(x) for kv in votes.trust.items() for x in kv])[F.col("status")], F.lit(1.0)) * F.pow(F.lit(0.5), F.coalesce(age, F.lit(36500)) / F.lit(votes.half_life_days))
+    trust = F.coalesce(F.create_map(*[F.lit(x) for kv in votes.trust.items() for x in kv])[F.col("status")], F.lit(1.0)) * (1 + F.log1p(F.greatest(F.lit(0), F.coalesce("source_count", F.lit(0)))))
+    weight = trust * F.pow(F.lit(0.5), F.coalesce(age, F.lit(36500)) / F.lit(votes.half_life_days))
     rows = known.select(*keys, merge_order().alias("_order"), weight.alias("_weight"), F.array(F.struct(F.lit("").alias("field"), F.lit("").alias("value")), *[F.struct(F.lit(f).alias("field"), _text(df, f).alias("value")) for f in fields]).alias("_fields"))
     long = rows.select(*keys, "_order", "_weight", F.inline("_fields")).where("value is not null")
     normal = F.lower(F.regexp_replace("value", r"[\s　]+", ""))

@@ -44,9 +44,10 @@ def test_fill_on_real_sizes():
     assert rows["tokens"].sum() / (out["bin"].nunique() * 4096) > 0.98
 
 
-def test_long_text_is_counted_in_steps():
-    text = "行の本文です。\n" * 3000
-    assert P.count_tokens(PATH, text, step=1000) == pytest.approx(P.count_tokens(PATH, text, step=10**9), rel=0.02)
+@pytest.mark.parametrize("text", ["行の本文です。\n" * 3000, "it's  a   line \n\n\t 12 34" * 700, " " * 5000 + "あ" * 3000, "x" * 4000])
+@pytest.mark.parametrize("step", [1, 7, 1000])
+def test_long_text_is_counted_in_steps(text, step):
+    assert P.count_tokens(PATH, text, step=step) == P.count_tokens(PATH, text, step=10**9)
 
 
 def test_tails_of_copies_lie_apart(spark):

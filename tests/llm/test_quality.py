@@ -14,8 +14,14 @@ def test_statistics_do_not_depend_on_chunks(spark):
     cut = {x.doc_id: x.asDict() for x in Q.text_statistics(df, chunk=70, run=3).collect()}
     for i in whole:
         for c in Q.COUNTS:
-            # compressed size is by chunk
-            assert c == "squeezed" or whole[i][c] == cut[i][c], (i, c)
+            assert whole[i][c] == cut[i][c], (i, c)
+
+
+def test_blocks_are_compressed_wherever_chunks_are_cut(monkeypatch):
+    monkeypatch.setattr(Q, "BLOCK", 50)
+    text = "".join(random.Random(4).choice("abあい ") for _ in range(333))
+    for chunk in (1, 7, 50, 64, 400):
+        assert sum(Q.squeezed_size(text, at, min(len(text), at + chunk)) for at in range(0, len(text), chunk)) == Q.squeezed_size(text, 0, len(text))
 
 
 @settings(max_examples=60, deadline=None)
