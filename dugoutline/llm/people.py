@@ -1,10 +1,10 @@
 """Spellings of one person's name linked and grouped.
 
-Each distinct spelling at a team is a unit. Its name grams (written form, and reading where one is known) and
-the characters of its team give two idf-weighted vectors; their tensor product is the unit's vector, so the
-cosine of two units is that of the names times that of the teams. Pairs above the threshold are found by a
-token join over the prefixes that alone can reach it, scored on name, reading, team and personal details, and
-grouped by average linkage over the scored pairs of each component.
+Each distinct spelling at a team is a unit. Its name grams (written form, and reading where one is known) give two
+idf-weighted vectors, and the characters of its team another; a unit's vector is their tensor product, so the cosine
+of two units is that of the names times that of the teams. Pairs that reach the threshold are found exactly by a
+join on the grams at near spellings of a team, checked on name, reading, team and personal details, and grouped
+by average linkage in each component.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from dugoutline.operators.graph import components
 from dugoutline.llm.names import edits, parse_name, reading_of, same_team, short_vowels, team_key
-from dugoutline.session import checkpointed
+from dugoutline.session import checkpointed, shuffled
 
 DETAILS = ("birth_date", "height_cm", "weight_kg", "fastball_max", "throws", "bats", "positions", "player_id")
 #: What an equal detail adds to a pair's score.
@@ -106,43 +106,60 @@ def _grams(text, n: int):
     return F.array_distinct(F.when(size > n, F.transform(F.sequence(F.lit(1), size - (n - 1)), lambda i: F.substring(text, i, F.lit(n)))).when(size > 0, F.array(text)).otherwise(F.array().cast("array<string>")))
 
 
-def _weighted(units: DataFrame, view: str, grams) -> DataFrame:
-    """(unit, grams of unit length 1 in norm) of a view."""
-    long = units.select("unit", F.explode(grams).alias("gram"))
-    total = units.count()
-    known = long.groupBy("gram").agg(F.log1p(F.lit(float(total)) / F.count("*")).alias("idf"))
-    vector = long.join(known, "gram").groupBy("unit").agg(F.collect_list(F.struct("gram", "idf")).alias("v"), F.sqrt(F.sum(F.col("idf") * F.col("idf"))).alias("norm"))
-    return vector.select("unit", F.transform("v", lambda x: F.struct(x["gram"].alias("g"), (x["idf"] / F.col("norm")).alias("w"))).alias(view))
-
-
 def with_vectors(units: DataFrame) -> DataFrame:
+    """``units`` with ``uid`` and ``vector``: the idf-weighted grams of the written name and of the reading, each view of
+    length 1."""
     written = F.when(F.col("kind") == "kanji", F.col("full")).otherwise(F.lit(""))
-    out = units
-    for view, grams in (("written", _grams(written, 2)), ("spoken", _grams(F.col("reading"), 2)), ("place", _grams(F.col("team"), 1))):
-        out = out.join(_weighted(units, view, grams), "unit", "left")
-    return out
+    total = F.lit(float(units.count()))
+    of_view = lambda v, text: F.transform(_grams(text, 2), lambda g: F.struct(F.lit(v).alias("view"), g.alias("gram")))
+    long = units.select("unit", F.inline(F.concat(of_view(0, written), of_view(1, F.col("reading")))))
+    known = long.groupBy("view", "gram").agg(F.log1p(total / F.count("*")).alias("idf"))
+    vectors = shuffled(long).join(known, ["view", "gram"]).groupBy("unit").agg(F.collect_list(F.struct("view", "gram", "idf")).alias("_v"))
+    norm = lambda v: F.sqrt(F.aggregate(F.filter("_v", lambda x: x["view"] == v), F.lit(0.0), lambda s, x: s + x["idf"] * x["idf"]))
+    lengths = vectors.withColumns({"_n0": norm(0), "_n1": norm(1)})
+    vector = F.transform("_v", lambda x: F.struct(x["view"].alias("view"), x["gram"].alias("gram"), (x["idf"] / F.when(x["view"] == 0, F.col("_n0")).otherwise(F.col("_n1"))).alias("w")))
+    return units.join(lengths.select("unit", vector.alias("vector")), "unit", "left").withColumn("uid", F.monotonically_increasing_id())
+
+
+def near_teams(own: DataFrame, other: DataFrame) -> DataFrame:
+    """(team, near, cosine): the spellings of ``other`` that may mean a team of ``own``, with the cosine of their characters.
+
+    Spellings one edit apart share one of their forms without one character, and one that begins with another has it
+    among its heads, so the join is one of equal keys. Each column ``team``; blanks match nothing.
+    """
+    forms = lambda t: F.array_distinct(F.concat(F.array(t), F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t))))))
+    heads = lambda t: F.when(F.length(t) > 2, F.transform(F.sequence(F.lit(2), F.length(t) - 1), lambda i: F.substring(t, F.lit(1), i))).otherwise(F.array().cast("array<string>"))
+    mark = lambda kind, xs: F.transform(xs, lambda x: F.concat(F.lit(kind), x))
+    t = F.col("team")
+
+    def keyed(df: DataFrame, head: str, whole: str) -> DataFrame:
+        return df.where("team <> ''").select("team").distinct().select("team", F.explode(F.concat(mark("e", forms(t)), mark(head, heads(t)), mark(whole, F.array(t)))).alias("key"))
+
+    met = shuffled(keyed(own, "a", "b")).join(keyed(other, "b", "a").withColumnRenamed("team", "near"), "key").select("team", "near").distinct()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            kept = [(x, y, len({*x} & {*y}) / (len({*x}) * len({*y})) ** 0.5) for x, y in zip(b["team"], b["near"], strict=True) if same_team(x, y) > 0]
+            yield pd.DataFrame(kept, columns=["team", "near", "cosine"])
+
+    return met.mapInPandas(run, "team string, near string, cosine double")
 
 
-def cosine_candidates(units: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): uids of units whose cosine may reach the threshold in either view, a < b.
+def cosine_pairs(units: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, cosine): uids of units, a < b, whose cosine reaches the threshold in either view.
 
-    A vector's tokens are taken from the rarest on, in one order for all, until the norm of the rest is below half
-    the threshold. The rest of the one that ends first can't give more than that norm, so a pair that reaches the
-    threshold has at least half of it in the tokens taken of both.
+    A unit's vector is the product of its name's and its team's, so the cosine is that of the names times that of the
+    teams, and only units at near spellings of a team need to meet. They do so on equal name grams at a team; all
+    shared grams of a pair meet, so the sum is the cosine.
     """
-    half = threshold / 2
-    views = F.array(*[F.struct(F.lit(v).alias("view"), F.col(n).alias("name")) for v, n in enumerate(("written", "spoken"))])
-    each = units.select("uid", "place", F.inline(views)).where("name is not null and place is not null")
-    pairs = F.flatten(F.transform("name", lambda n: F.transform("place", lambda p: F.struct(F.xxhash64(F.col("view"), n["g"], p["g"]).alias("token"), (n["w"] * p["w"]).alias("w")))))
-    rows = each.select((F.col("uid") * 2 + F.col("view")).alias("vector"), F.inline(pairs))
-    df = rows.groupBy("token").agg(F.count("*").alias("df"))
-    order = Window.partitionBy("vector").orderBy("df", "token").rowsBetween(Window.unboundedPreceding, -1)
-    rest = 1 - F.coalesce(F.sum(F.col("w") * F.col("w")).over(order), F.lit(0.0))
-    kept = rows.join(df.where("df > 1"), "token", "left").withColumn("df", F.coalesce("df", F.lit(1))).withColumn("rest", rest).where((F.col("rest") >= half * half - 1e-9) & (F.col("df") > 1)).select("vector", "token", "w")
-    a, b = kept.select("token", F.col("vector").alias("va"), F.col("w").alias("wa")), kept.select("token", F.col("vector").alias("vb"), F.col("w").alias("wb"))
-    met = a.join(b, "token").where("va < vb and pmod(va, 2) = pmod(vb, 2)")
-    near = met.groupBy("va", "vb").agg(F.sum(F.col("wa") * F.col("wb")).alias("s")).where(F.col("s") >= half - 1e-9)
-    return near.select(F.expr("shiftright(va, 1)").alias("a"), F.expr("shiftright(vb, 1)").alias("b")).distinct()
+    teams = checkpointed(near_teams(units, units))
+    token = F.xxhash64("near", "view", "gram")
+    each = units.where("team <> ''").select("uid", "team", F.inline("vector"))
+    a = each.join(teams, "team").select(token.alias("token"), F.col("view").alias("view"), F.col("uid").alias("a"), (F.col("w") * F.col("cosine")).alias("wa"))
+    b = each.withColumnRenamed("team", "near").select(token.alias("token"), F.col("uid").alias("b"), F.col("w").alias("wb"))
+    met = shuffled(a).join(shuffled(b), "token").where("a < b")
+    near = met.groupBy("a", "b", "view").agg(F.sum(F.col("wa") * F.col("wb")).alias("cosine")).where(F.col("cosine") >= threshold - 1e-9)
+    return near.groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
 
 
 def _prefix(a: str, b: str, least: int = 1) -> bool:
@@ -262,63 +279,45 @@ def pair_score(a: dict, b: dict) -> float:
 
 
 def average_linkage(pairs: list[tuple[str, str, float]], least: float) -> dict[str, str]:
-    """Clusters of the nodes of scored pairs: those with the best mean score are joined while it reaches ``least``.
+    """Clusters of the nodes of scored pairs: the two with the best mean score are joined while it reaches ``least``.
 
-    The mean is over the scored pairs between two clusters; ties go to the least names.
+    The mean is over all pairs of a node of one and a node of the other; those that have no score count 0. Ties go to
+    the least names.
     """
-    name: dict[str, str] = {}
     members: dict[str, list[str]] = {}
-    sums: dict[str, dict[str, list[float]]] = {}
+    sums: dict[str, dict[str, float]] = {}
     for a, b, s in pairs:
         for x in (a, b):
             members.setdefault(x, [x])
             sums.setdefault(x, {})
-        old = sums[a].get(b, [0.0, 0.0])
-        sums[a][b] = sums[b][a] = [old[0] + s, old[1] + 1]
-    heap = [(-t / n, min(a, b), max(a, b)) for a, near in sums.items() for b, (t, n) in near.items() if a < b and t / n >= least]
+        sums[a][b] = sums[b][a] = sums[a].get(b, 0.0) + s
+    mean = lambda a, b: sums[a][b] / (len(members[a]) * len(members[b]))
+    heap = [(-t, min(a, b), max(a, b)) for a, near in sums.items() for b, t in near.items() if a < b and t >= least]
     heapq.heapify(heap)
     while heap:
         s, a, b = heapq.heappop(heap)
-        if a not in members or b not in members or b not in sums[a]:
-            continue
-        t, n = sums[a][b]
-        if abs(t / n + s) > 1e-12:
+        if a not in members or b not in members or b not in sums[a] or abs(mean(a, b) + s) > 1e-12:
             continue
         members[a] += members.pop(b)
         gone = sums.pop(b)
         del sums[a][b]
-        for c, (t, n) in gone.items():
-            if c == a:
-                continue
-            del sums[c][b]
-            old = sums[a].get(c, [0.0, 0.0])
-            sums[a][c] = sums[c][a] = [old[0] + t, old[1] + n]
-        for c, (t, n) in sums[a].items():
-            if t / n >= least:
-                heapq.heappush(heap, (-t / n, min(a, c), max(a, c)))
-    for head, own in members.items():
-        least_name = min(own)
-        for x in own:
-            name[x] = least_name
-    return name
+        for c, t in gone.items():
+            if c != a:
+                del sums[c][b]
+                sums[a][c] = sums[c][a] = sums[a].get(c, 0.0) + t
+        for c in sums[a]:
+            if (m := mean(a, c)) >= least:
+                heapq.heappush(heap, (-m, min(a, c), max(a, c)))
+    return {x: min(own) for own in members.values() for x in own}
 
 
 FIELDS = ("full", "parts", "reading", "own_reading", "surname_said", "initial", "nick", "kind", "team", *DETAILS)
 
 
-def _dot(x, y):
-    """Dot product of two sparse vectors."""
-    other = F.map_from_entries(y)
-    return F.aggregate(x, F.lit(0.0), lambda s, e: s + e["w"] * F.coalesce(F.try_element_at(other, e["g"]), F.lit(0.0)))
-
-
-def scored(near: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, score), a and b units, of the candidate pairs (uids) whose cosine in the better view reaches ``threshold``."""
-    side = lambda df, s: df.select(*[F.col(c).alias(f"{s}_{c}") for c in ("uid", "unit", *FIELDS, "written", "spoken", "place")])
+def scored(near: DataFrame, units: DataFrame) -> DataFrame:
+    """(a, b, score), a and b units, of candidate pairs (a, b as uids)."""
+    side = lambda df, s: df.select(*[(F.array_join(c, " ") if c == "parts" else F.col(c)).alias(f"{s}_{c}") for c in ("uid", "unit", *FIELDS)])
     both = near.join(side(units, "a"), F.col("a") == F.col("a_uid")).join(side(units, "b"), F.col("b") == F.col("b_uid"))
-    best = F.greatest(*[F.coalesce(_dot(F.col(f"a_{v}"), F.col(f"b_{v}")), F.lit(0.0)) for v in ("written", "spoken")])
-    close = both.where(best * _dot(F.col("a_place"), F.col("b_place")) >= threshold)
-    lists = [F.array_join(f"{s}_parts", " ").alias(f"{s}_parts") if f == "parts" else F.col(f"{s}_{f}") for s in "ab" for f in FIELDS]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n = len(FIELDS)
@@ -330,17 +329,17 @@ def scored(near: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
                 out.append((a, b, pair_score(x, y)))
             yield pd.DataFrame(out, columns=["a", "b", "score"])
 
-    return close.select("a_unit", "b_unit", *lists).mapInPandas(run, "a string, b string, score double")
+    return both.select("a_unit", "b_unit", *[f"{s}_{f}" for s in "ab" for f in FIELDS]).mapInPandas(run, "a string, b string, score double")
 
 
 def scored_pairs(units: DataFrame, threshold: float) -> DataFrame:
     """(a, b, score) of the unit pairs whose cosine reaches ``threshold``."""
-    return scored(cosine_candidates(units, threshold), units, threshold)
+    return scored(cosine_pairs(units, threshold), units)
 
 
-def person_units(rows: DataFrame, threshold: float = 0.2, link: float = 0.55, mean: float = 0.45) -> tuple[DataFrame, DataFrame]:
+def person_units(rows: DataFrame, threshold: float = 0.2, link: float = 0.55, mean: float = 0.3) -> tuple[DataFrame, DataFrame]:
     """(unit rows with vectors, unit -> person). ``rows`` come from ``parsed``."""
-    units = checkpointed(with_vectors(checkpointed(units_of(rows))).withColumn("uid", F.monotonically_increasing_id()))
+    units = checkpointed(with_vectors(checkpointed(units_of(rows))))
     pairs = checkpointed(scored_pairs(units, threshold))
     parts = components(pairs.where(F.col("score") >= link), "a", "b")
     inside = pairs.join(parts.select(F.col("node").alias("a"), "component"), "a").join(parts.select(F.col("node").alias("b"), F.col("component").alias("_c")), "b").where("component = _c")

@@ -1,6 +1,11 @@
+import random
+
+import numpy as np
 import pytest
 from dugoutline.llm import linkage, people
 from dugoutline.llm.names import edits, parse_name, same_team, team_key
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 SCHEMA = "id string, name string, name_kana string, team string, team_name string, draft_year int, category string, birth_date date, height_cm int, weight_kg int, fastball_max int, throws string, bats string, positions array<string>, player_id string, unit string, person string, full string"
@@ -37,11 +42,47 @@ def test_pairs(spark):
     assert people.person_pairs(df.limit(0)).count() == 0
 
 
-def test_average_linkage_against_brute_force():
+def merged_by_brute_force(pairs, least):
+    score = {}
+    for a, b, s in pairs:
+        score[frozenset((a, b))] = score.get(frozenset((a, b)), 0.0) + s
+    clusters = [[x] for x in sorted({x for a, b, _ in pairs for x in (a, b)})]
+    while True:
+        means = [(-sum(score.get(frozenset((x, y)), 0.0) for x in p for y in q) / (len(p) * len(q)), min(p), min(q), p, q) for i, p in enumerate(clusters) for q in clusters[i + 1 :]]
+        best = min(means, key=lambda m: m[:3], default=None)
+        if best is None or -best[0] < least - 1e-12:
+            return {x: min(c) for c in clusters for x in c}
+        clusters = sorted([c for c in clusters if c not in best[3:]] + [sorted(best[3] + best[4])])
+
+
+def test_average_linkage_of_few():
     pairs = [("a", "b", 0.9), ("b", "c", 0.8), ("a", "c", -1.0), ("c", "d", 0.7), ("e", "f", 0.4)]
     assert people.average_linkage(pairs, 0.45) == {"a": "a", "b": "a", "c": "c", "d": "c", "e": "e", "f": "f"}
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abcdefgh"), st.sampled_from("abcdefgh"), st.sampled_from([-1.0, 0.25, 0.5, 0.75, 1.0, 1.25])).filter(lambda p: p[0] < p[1]), max_size=16, unique_by=lambda p: p[:2]))
+def test_average_linkage_against_brute_force(pairs):
+    assert people.average_linkage(pairs, 0.3) == merged_by_brute_force(pairs, 0.3)
+
+
+def test_cosine_pairs_against_brute_force(spark):
+    r = random.Random(7)
+    rows = [(f"u{i}", "".join(r.choice("茜尾俊哉広真鶴関") for _ in range(r.choice((2, 3, 4, 5)))), r.choice(("", "あかねお", "つるせき", "あかせき")), r.choice(("kanji", "kana")), r.choice(("杏川国際", "杏川", "杏川国祭", "雁岩", "", "国際"))) for i in range(60)]
+    units = people.with_vectors(spark.createDataFrame(rows, "unit string, full string, reading string, kind string, team string")).cache()
+    vectors = {u.uid: (u.team, [{x.gram: x.w for x in u.vector or [] if x.view == v} for v in (0, 1)]) for u in units.collect()}
+    bag = lambda s, t: len({*s} & {*t}) / (len({*s}) * len({*t})) ** 0.5
+    dot = lambda x, y: sum(w * y.get(g, 0.0) for g, w in x.items())
+    want = {}
+    for a, (ta, va) in vectors.items():
+        for b, (tb, vb) in vectors.items():
+            if a < b and same_team(ta, tb) and (c := bag(ta, tb) * max(dot(x, y) for x, y in zip(va, vb, strict=True))) >= 0.2:
+                want[a, b] = round(c, 9)
+    got = {(x.a, x.b): round(x.cosine, 9) for x in people.cosine_pairs(units, 0.2).collect()}
+    assert got == want and len(want) > 20
+    assert all(abs(sum(w * w for w in v.values()) - 1) < 1e-9 for _, views in vectors.values() for v in views if v)
+
+
 def test_roster_matches(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
     entries = spark.createDataFrame(
@@ -56,18 +97,44 @@ def test_roster_matches(spark):
 
 
 def test_close_codes_are_exact(spark):
-    base = [0x0F0F0F0F, 0x12345678, 0xFFFFFFFF, 0x0]
-    flip = lambda bits: [v ^ sum(1 << (b % 32) for b in bits if b // 32 == c) for c, v in enumerate(base)]
-    cases = {"0": [], "1": [5], "4": [1, 33, 65, 97], "7": [1, 2, 33, 34, 65, 66, 97], "8": [1, 2, 33, 34, 65, 66, 97, 98], "7 in one": list(range(7))}
-    left = spark.createDataFrame([("x", "written", base)], "unit string, view string, code array<bigint>")
-    right = spark.createDataFrame([(k, "written", flip(v)) for k, v in cases.items()] + [("other view", "spoken", base)], "unit string, view string, code array<bigint>")
-    assert {r.b for r in linkage.close_codes(left, right).collect()} == {"0", "1", "4", "7", "7 in one"}
+    r = random.Random(3)
+    flipped = lambda v, bits: (lambda w: w - (1 << 64) if w >> 63 else w)((v % (1 << 64)) ^ sum(1 << b for b in bits))
+    base = [r.getrandbits(64) - (1 << 63) for _ in range(40)]
+    other = [flipped(v, r.sample(range(64), k % 7)) for k, v in enumerate(base)]
+    schema = "uid bigint, team string, views array<struct<view: int, code: bigint>>"
+    left = spark.createDataFrame([(i, "t", [(0, v)]) for i, v in enumerate(base)], schema)
+    right = spark.createDataFrame([(i, "u", [(0, v)]) for i, v in enumerate(other)] + [(900, "u", [(1, base[0])]), (901, "far", [(0, base[0])])], schema)
+    teams = spark.createDataFrame([("t", "u", 0.9)], "team string, near string, cosine double")
+    got = {tuple(x) for x in linkage.close_codes(left, right, teams).collect()}
+    assert got == {(a, b) for a, v in enumerate(base) for b, w in enumerate(other) if ((v ^ w) % (1 << 64)).bit_count() <= linkage.RADIUS}
+    assert (3, 3) in got and (4, 4) not in got
+
+
+def test_weighted_dice(spark):
+    bits = linkage.encoded
+    fields = "year string, category string, name bigint, said bigint, place bigint"
+    cases = [(("2025", "hs", bits("茜尾俊哉"), bits("あか"), bits("杏川")), 1.0), (("2026", "hs", bits("茜尾俊哉"), bits("あか"), bits("杏川")), 0.96), ((None, None, bits("茜尾俊哉"), 0, bits("杏川")), 1.0), (("2025", "univ", bits("茜尾俊哉"), 0, bits("杏川")), 1 - 0.07 / 0.75), ((None, None, 0, 0, 0), 0.0)]
+    a = spark.createDataFrame([cases[0][0]], fields).select(*[F.col(c).alias(f"a_{c}") for c in ("year", "category", "name", "said", "place")])
+    b = spark.createDataFrame([(*c, i) for i, (c, _) in enumerate(cases)], fields + ", i int").select("i", *[F.col(c).alias(f"b_{c}") for c in ("year", "category", "name", "said", "place")])
+    got = {r.i: r.s for r in a.join(b).select("i", linkage.weighted_dice().alias("s")).collect()}
+    assert [round(got[i], 6) for i in range(len(cases))] == [round(s, 6) for _, s in cases]
+
+
+def test_confidence_rises_and_holds_on_other_pairs():
+    rng = np.random.default_rng(5)
+    same = rng.random(6000) < 0.6
+    dice = np.clip(np.where(same, 1 - rng.exponential(0.06, 6000), rng.normal(0.55, 0.1, 6000)), 0, 1)
+    at = np.minimum(99, (dice * 100).astype(int))
+    for table in (linkage.confidence_table(np.bincount(at, minlength=100).astype(float)), linkage.fitted_table(dice[:3000], same[:3000], 100)):
+        assert table == sorted(table) and table[30] < 0.05 and table[-1] > 0.95
+        said = np.array(table)[at]
+        for part in (said < 0.2, said >= 0.8):
+            part[:3000] = False
+            assert abs(said[part].mean() - same[part].mean()) < 0.05
 
 
 @pytest.mark.parametrize("n", [1, 3])
 def test_confidence_rises(n):
-    import numpy as np
-
     table = linkage.confidence_table(np.array([5, 9, 9, 3, 1, 0, 0, 2, 9, 30]) * n)
     assert table == sorted(table) and table[0] < 0.5 < table[-1]
 
