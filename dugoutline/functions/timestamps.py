@@ -8,12 +8,15 @@ installed time zone database, whose version is part of the cache key.
 
 from __future__ import annotations
 
+import hashlib
 import importlib.metadata
 import re
 import unicodedata
+from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 from functools import lru_cache
-from zoneinfo import ZoneInfo
+from pathlib import Path
+from zoneinfo import TZPATH, ZoneInfo
 
 import numpy as np
 import pandas as pd
@@ -36,14 +39,14 @@ ABBREVIATIONS = {
 #: First year of each era, less one.
 ERAS = {"令和": 2018, "平成": 1988, "昭和": 1925, "r": 2018, "h": 1988, "s": 1925}
 
-_ZONE = r"(?:\s*\(?(?P<zone>(?:UTC|GMT)?[+\-]\d{1,2}:?\d{2}|[A-Za-z]{1,5}(?:/[A-Za-z_]+){0,2})\)?)?"
+_ZONE = r"(?:\s*\(?(?P<zone>(?:UTC|GMT)?[+\-]\d{1,2}(?::?\d{2})?|[A-Za-z]+(?:/[A-Za-z0-9_+\-]+){1,2}|[A-Za-z]{1,5})\)?)?"
 _CLOCK = r"(?P<h>\d{1,2}):(?P<mi>\d{2})(?::(?P<s>\d{2})(?:[.,]\d+)?)?"
-_AMPM = r"(?:\s*(?P<ap>[AaPp]\.?[Mm]\.?))?"
+_AMPM = r"(?:\s*(?P<ap>[AaPp]\.?[Mm]\.?)(?![A-Za-z]))?"
 _JP_CLOCK = r"(?P<ap>午前|午後)?\s*(?:(?P<h>\d{1,2})(?::(?P<mi>\d{2})(?::(?P<s>\d{2}))?|時(?:(?P<mi2>\d{1,2})分(?:(?P<s2>\d{1,2})秒)?)?))"
 _DAY_JP = r"(?:\s*[((][^()()]{1,3}[))])?"
-#: Notations in the order they are tried for a mask; the first whose pattern fits gives the parser.
+#: Notations in the order they are tried for a mask, in letters of either case; the first whose pattern fits gives the parser.
 NOTATIONS = tuple(
-    re.compile(p)
+    re.compile(p, re.I)
     for p in (
         r"(?P<epoch>-?\d{9,10}|-?\d{12,13}|-?\d{15,16})(?:\.\d+)?",
         r"(?P<y>\d{4})(?P<mo>\d{2})(?P<d>\d{2})(?:[T ]?(?P<h>\d{2})(?P<mi>\d{2})(?P<s>\d{2})?(?:\.\d+)?" + _ZONE + ")?",
@@ -53,18 +56,19 @@ NOTATIONS = tuple(
         r"(?P<y>\d{4})年\s*(?P<mo>\d{1,2})月\s*(?P<d>\d{1,2})日" + _DAY_JP + r"(?:\s*" + _JP_CLOCK + _ZONE + ")?",
         r"(?P<era>令和|平成|昭和|[RHS])\s*(?P<ey>\d{1,2}|元)年\s*(?P<mo>\d{1,2})月\s*(?P<d>\d{1,2})日" + _DAY_JP + r"(?:\s*" + _JP_CLOCK + _ZONE + ")?",
         r"(?:(?P<wd>[A-Za-z]+)\.?,?\s+)?(?P<d>\d{1,2})[\s\-](?P<mon>[A-Za-z]+)\.?,?[\s\-](?P<y>\d{4})(?:,?\s+" + _CLOCK + _AMPM + _ZONE + ")?",
-        r"(?P<wd>[A-Za-z]+)\s+(?P<mon>[A-Za-z]+)\s+(?P<d>\d{1,2})\s+" + _CLOCK + r"(?:\s+(?P<zone>[A-Za-z]{1,5}|[+\-]\d{2}:?\d{2}))?\s+(?P<y>\d{4})",
+        r"(?P<wd>[A-Za-z]+)\s+(?P<mon>[A-Za-z]+)\s+(?P<d>\d{1,2})\s+" + _CLOCK + r"(?:\s+(?P<zone>[A-Za-z]{1,5}|[+\-]\d{2}(?::?\d{2})?))?\s+(?P<y>\d{4})",
         r"(?:(?P<wd>[A-Za-z]+)\.?,?\s+)?(?P<mon>[A-Za-z]+)\.?\s+(?P<d>\d{1,2})(?:st|nd|rd|th)?,?\s+(?P<y>\d{4})(?:,?(?:\s+at)?\s+" + _CLOCK + _AMPM + _ZONE + ")?",
     )
 )
 _DIGIT, _WORD = re.compile(r"\d"), re.compile(r"[A-Za-z]+")
+_MINUS = str.maketrans(dict.fromkeys("−‐‑–", "-"))
 _BRACKETS = re.compile(r"^\[\s*(.*?)\s*\]$", re.S)
 _LABEL = re.compile(r"^[^\d\sA-Za-z::]{1,8}\s*:\s*(?=\d|令|平|昭)")
 
 
 def tidy(text: str) -> str:
     """``text`` in compatibility form without outer space, brackets and a leading label."""
-    text = re.sub(r"\s+", " ", unicodedata.normalize("NFKC", text)).strip()
+    text = re.sub(r"\s+", " ", unicodedata.normalize("NFKC", text)).strip().translate(_MINUS)
     if m := _BRACKETS.match(text):
         text = m[1]
     return _LABEL.sub("", text)
@@ -83,23 +87,36 @@ def mask(text: str) -> str:
     return _WORD.sub(kind, _DIGIT.sub("9", text))
 
 
-_PARSERS: dict[str, re.Pattern | None] = {}
+_PARSERS: dict[str, re.Pattern] = {}
 
 
 def parser_of(shape: str, sample: str) -> re.Pattern | None:
-    if shape not in _PARSERS:
+    """The parser of a mask if it fits the sample, else the first notation that does, which is then the mask's; what no
+    notation fits says nothing of other texts of the mask."""
+    known = _PARSERS.get(shape)
+    if known is not None and known.fullmatch(sample):
+        return known
+    found = next((p for p in NOTATIONS if p.fullmatch(sample)), None)
+    if found is not None:
         if len(_PARSERS) > 100_000:
             _PARSERS.clear()
-        _PARSERS[shape] = next((p for p in NOTATIONS if p.fullmatch(sample)), None)
-    return _PARSERS[shape]
+        _PARSERS[shape] = found
+    return found
 
 
+@lru_cache(maxsize=1)
 def database_version() -> str:
-    """Version of the time zone database in use."""
+    """Version of the time zone database in use: of the package, else of the files the zones are read from."""
     try:
         return importlib.metadata.version("tzdata")
     except importlib.metadata.PackageNotFoundError:
-        return "system"
+        pass
+    for folder in map(Path, TZPATH):
+        for name in ("+VERSION", "tzdata.zi"):
+            if (folder / name).is_file():
+                return (folder / name).read_text(errors="replace").splitlines()[0].removeprefix("# version").strip()
+    parts = [p for p in (Path(f) / HOME_ZONE for f in TZPATH) if p.is_file()]
+    return hashlib.sha1(parts[0].read_bytes()).hexdigest() if parts else "unknown"
 
 
 class Zone:
@@ -150,8 +167,8 @@ def _offset_minutes(text: str | None) -> float:
     t = text.strip().lower()
     if t in ABBREVIATIONS:
         return ABBREVIATIONS[t]
-    if m := re.fullmatch(r"(?:utc|gmt)?([+\-])(\d{1,2}):?(\d{2})", t):
-        minutes = int(m[2]) * 60 + int(m[3])
+    if m := re.fullmatch(r"(?:utc|gmt)?([+\-])(\d{1,2})(?::?(\d{2}))?", t.translate(_MINUS)):
+        minutes = int(m[2]) * 60 + int(m[3] or 0)
         return (-1 if m[1] == "-" else 1) * minutes if minutes <= 18 * 60 else np.nan
     return np.nan
 
@@ -165,21 +182,33 @@ def _days(y: np.ndarray, m: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.n
     return first + d - 1, ok & (d <= length)
 
 
+def _parsed(groups: dict[str, list[int]], texts: list[str | None]) -> Iterator[tuple[list[int], pd.DataFrame]]:
+    """Rows and the fields of their notation, for all texts that one fits; mostly once a mask."""
+    for shape, rows in groups.items():
+        k = 0
+        while k < len(rows):
+            pattern = parser_of(shape, texts[rows[k]])
+            if pattern is None:
+                k += 1
+                continue
+            rows, k = rows[k:], 0
+            f = pd.Series([texts[i] for i in rows]).str.extract(pattern.pattern.join(("^", "$")), flags=re.I)
+            fits = f.notna().any(axis=1).to_numpy()
+            yield [i for i, ok in zip(rows, fits, strict=True) if ok], f[fits].reset_index(drop=True)
+            rows = [i for i, ok in zip(rows, fits, strict=True) if not ok]
+
+
 def to_epoch(texts: list[str | None], zones: list[str | None], offsets: list[str | None], home: str = HOME_ZONE) -> np.ndarray:
     """UTC seconds of each text, UNREADABLE where it tells no time."""
     out = np.full(len(texts), UNREADABLE, dtype=np.int64)
     groups: dict[str, list[int]] = {}
     tidied = [None if t is None or t != t else tidy(t) for t in texts]
     for i, t in enumerate(tidied):
-        if t and len(t) <= 80:
+        if t:
             groups.setdefault(mask(t), []).append(i)
     version = database_version()
-    for shape, rows in groups.items():
-        pattern = parser_of(shape, tidied[rows[0]])
-        if pattern is None:
-            continue
+    for rows, f in _parsed(groups, tidied):
         at = np.array(rows)
-        f = pd.Series([tidied[i] for i in rows]).str.extract(pattern.pattern.join(("^", "$")))
         number = lambda c, default=0: pd.to_numeric(f[c], errors="coerce").fillna(default).to_numpy().astype(np.int64) if c in f else np.full(len(f), default, dtype=np.int64)
         if "epoch" in f:
             n = number("epoch")

@@ -55,3 +55,30 @@ def test_articles(spark):
     got = sorted((r.article_id, r.published_utc) for r in T.article_instants(df).collect())
     assert got == [("a", "2025-01-01T05:00:00Z"), ("b", "2025-11-14T19:16:00Z"), ("b", "2025-11-14T19:16:00Z"), ("c", "2024-12-31T15:00:00Z"), ("e", "2025-02-28T15:00:00Z")]
     assert T.article_instants(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "utc"),
+    [
+        ("2025-01-01 10:00 Europe/Berlin", "2025-01-01T09:00:00Z"), ("2025-01-01 10:00 America/New_York", "2025-01-01T15:00:00Z"), ("2025-01-01 10:00 America/Argentina/Buenos_Aires", "2025-01-01T13:00:00Z"), ("2025-01-01 10:00 +09", "2025-01-01T01:00:00Z"),
+        ("2025-01-01T10:00:00−05:00", "2025-01-01T15:00:00Z"), ("2025-01-01 10:00 (utc+9)", "2025-01-01T01:00:00Z"), ("2025-01-01" + " " * 300 + "10:00 JST", "2025-01-01T01:00:00Z"), ("x" * 5000, None), ("2025-01-01 10:00 Nowhere/Else", None),
+    ],
+)
+def test_zones_and_long_texts(text, utc):
+    assert instant(text) == utc
+
+
+def test_order_of_letter_cases_does_not_matter():
+    texts = ["2025-01-01t10:00:00+09:00", "2025-01-01T10:00:00+09:00", "2025-13-01T10:00:00+09:00", "2025-01-01 10:00 XX/Y", "2025-01-01T10:00:00+09:00", "r7年1月1日 10:00", "R7年1月1日 10:00", "H7年1月1日 10:00"]
+    want = [1735693200, 1735693200, T.UNREADABLE, T.UNREADABLE, 1735693200, 1735693200, 1735693200, 788922000]
+    for order in (list(range(len(texts))), list(reversed(range(len(texts))))):
+        T._PARSERS.clear()
+        got = T.to_epoch([texts[i] for i in order], [None] * len(texts), [None] * len(texts))
+        assert [int(x) for x in got] == [want[i] for i in order]
+
+
+def test_one_mask_may_need_two_parsers(monkeypatch):
+    monkeypatch.setattr(T, "mask", lambda t: "one")
+    got = T.to_epoch(["junk", "2025-01-01 10:00", "also junk", "1763147760", "2025年1月1日"], [None] * 5, [None] * 5)
+    assert [int(x) for x in got] == [T.UNREADABLE, 1735693200, T.UNREADABLE, 1763147760, 1735657200]
+    assert T.database_version()
