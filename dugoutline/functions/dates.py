@@ -1,40 +1,64 @@
 """Date notations of the crawler brought to one form, on the wall clock, and years told by context.
 
-Only the notations listed are read; what they leave is null here, and ``timestamps`` reads the rest.
+``wall_clock`` reads the notations listed; ``full_timestamp_text`` has the rest read by ``timestamps``.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from dugoutline.functions.text import category_of, strip, to_int
+from dugoutline.functions.timestamps import OFFSET, UNREADABLE, tidy, to_epoch
 
-_ISO = r"^(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2}):(\d{2})[+-]\d{2}:\d{2}"
-_JP = r"^(\d{4})年(\d{1,2})月(\d{1,2})日(?:\s+(\d{1,2})[:時](\d{1,2})[分]?)?"
+# Notations in the order they are tried, the groups of their year, month, day, hour, minute and second (0 for
+# none), and whether what they say is kept as written or must be a date that exists.
+NOTATIONS = (
+    (r"^(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2}):(\d{2})[+-]\d{2}:\d{2}", (1, 2, 3, 4, 5, 6), True),
+    (r"^(\d{4})年(\d{1,2})月(\d{1,2})日(?:\s+(\d{1,2})[:時](\d{1,2})[分]?)?", (1, 2, 3, 4, 5, 0), True),
+    (r"^(\d{4})-(\d{2})-(\d{2})$", (1, 2, 3, 0, 0, 0), True),
+    (r"^(\d{4})[-/](\d{1,2})[-/](\d{1,2})$", (1, 2, 3, 0, 0, 0), False),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", (3, 1, 2, 0, 0, 0), False),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", (3, 2, 1, 0, 0, 0), False),
+    (r"^(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2}):(\d{2})(?:\.\d{1,6})?$", (1, 2, 3, 4, 5, 6), False),
+)
+
+
+def bare_date(text: Column) -> Column:
+    """A date text without outer space and brackets."""
+    return strip(F.regexp_replace(strip(text), r"^\[|\]$", ""))
 
 
 def wall_clock(text: Column) -> Column:
-    """'yyyy-MM-dd HH:mm:ss' of a date text, the offset of an ISO text dropped; null where it isn't read.
+    """'yyyy-MM-dd HH:mm:ss' of a date text, the offset of an ISO text dropped; null where no notation is read.
 
     A time after a weekday is not part of the notation, so it gives midnight.
     """
-    t = strip(F.regexp_replace(strip(text), r"^\[|\]$", ""))
-    part = lambda p, i: F.regexp_extract(t, p, i)
-    two = lambda c: F.lpad(c, 2, "0")
-    iso = F.when(t.rlike(_ISO), F.concat(part(_ISO, 1), F.lit("-"), part(_ISO, 2), F.lit("-"), part(_ISO, 3), F.lit(" "), part(_ISO, 4), F.lit(":"), part(_ISO, 5), F.lit(":"), part(_ISO, 6)))
-    clock = F.when((part(_JP, 4) != "") & (part(_JP, 5) != ""), F.concat(F.lit(" "), two(part(_JP, 4)), F.lit(":"), two(part(_JP, 5)), F.lit(":00"))).otherwise(F.lit(" 00:00:00"))
-    jp = F.when(t.rlike(_JP), F.concat(part(_JP, 1), F.lit("-"), two(part(_JP, 2)), F.lit("-"), two(part(_JP, 3)), clock))
-
-    def dated(pattern: str, form: str) -> Column:
-        return F.when(t.rlike(pattern), F.date_format(F.try_to_timestamp(t, F.lit(form)), "yyyy-MM-dd HH:mm:ss"))
-
-    day = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(t, F.lit(" 00:00:00")))
-    month_first = dated(r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy")
-    return F.coalesce(
-        iso, jp, day, dated(r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"), dated(r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"), month_first, dated(r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
-        F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?$"), F.date_format(F.try_to_timestamp(F.substring(t, 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss")), "yyyy-MM-dd HH:mm:ss")),
-    )
+    t = bare_date(text)
+
+    def read(pattern: str, groups: tuple[int, ...], kept: bool) -> Column:
+        two = lambda i: F.lpad(F.coalesce(F.nullif(F.regexp_extract(t, pattern, i), F.lit("")), F.lit("0")), 2, "0") if i else F.lit("00")
+        y, *rest = groups
+        parts = F.concat(F.regexp_extract(t, pattern, y), *[F.concat(F.lit(mark), two(i)) for mark, i in zip("-- ::", rest, strict=True)])
+        return F.when(t.rlike(pattern), parts if kept else F.when(F.try_to_timestamp(parts).isNotNull(), parts))
+
+    return F.coalesce(*[read(*n) for n in NOTATIONS])
+
+
+def full_timestamp_text(text: Column) -> Column:
+    """``timestamp_text``, of what it doesn't read the clock that the mixed notations tell, else the text itself."""
+
+    @F.pandas_udf("string")
+    def rest(x: pd.Series) -> pd.Series:
+        # as in UTC, so that the clock stays as it is written; an offset is dropped
+        at = to_epoch([None if t is None else OFFSET.sub("", tidy(t)) for t in x], [None] * len(x), [None] * len(x), "UTC")
+        clock = np.datetime_as_string(np.where(at == UNREADABLE, 0, at).astype("datetime64[s]"))
+        return pd.Series([None if a == UNREADABLE else f"{c}+09:00" for a, c in zip(at, clock, strict=True)], dtype=object)
+
+    told = timestamp_text(text)
+    return F.coalesce(told, F.when(told.isNull() & text.isNotNull(), rest(text)), text)
 
 
 def timestamp_text(text: Column) -> Column:

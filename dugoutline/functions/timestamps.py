@@ -60,6 +60,8 @@ NOTATIONS = tuple(
         r"(?:(?P<wd>[A-Za-z]+)\.?,?\s+)?(?P<mon>[A-Za-z]+)\.?\s+(?P<d>\d{1,2})(?:st|nd|rd|th)?,?\s+(?P<y>\d{4})(?:,?(?:\s+at)?\s+" + _CLOCK + _AMPM + _ZONE + ")?",
     )
 )
+#: Zone or offset after a clock.
+OFFSET = re.compile(r"(?<=\d)\s*\(?(?:(?:UTC|GMT)?[+\-]\d{1,2}(?::?\d{2})?|Z|[A-Z]{2,5}|[A-Za-z]+/[A-Za-z0-9_+\-/]+)\)?$")
 _DIGIT, _WORD = re.compile(r"\d"), re.compile(r"[A-Za-z]+")
 _MINUS = str.maketrans(dict.fromkeys("−‐‑–", "-"))
 _BRACKETS = re.compile(r"^\[\s*(.*?)\s*\]$", re.S)

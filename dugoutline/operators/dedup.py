@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from dugoutline.functions import text as T
 from dugoutline.operators.graph import components
-from dugoutline.session import checkpointed
+from dugoutline.session import checkpointed, shuffled
 
 
 def first_by(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
@@ -53,33 +53,49 @@ def bag_ratio(a: str | None, b: str | None) -> float:
     return 2 * sum((x & y).values()) / n if n else 1.0
 
 
-def may_reach(a: Column, b: Column, t: float) -> Column:
-    """Bound by length: false only where the ratio of two texts can't exceed ``t``."""
-    la, lb = F.length(F.coalesce(a, F.lit(""))), F.length(F.coalesce(b, F.lit("")))
-    return (F.least(la, lb) * 2 > (la + lb) * t) | (la + lb == 0)
+def _numbered(df: DataFrame, items: Column, kind: str) -> DataFrame:
+    """(seq, size, token): the items of a title numbered by occurrence, so that equal bags are equal sets."""
+    counted = df.select("seq", "size", F.explode(items).alias("c")).groupBy("seq", "size", "c").agg(F.count("*").alias("n"))
+    return counted.select("seq", "size", F.explode(F.transform(F.sequence(F.lit(1), F.col("n").cast("int")), lambda i: F.concat(F.lit(kind), F.col("c"), F.lit("\u0001"), i.cast("string")))).alias("token"))
 
 
-def _title_tokens(df: DataFrame) -> DataFrame:
-    """(seq, tokens): characters of the title numbered by occurrence, so that equal bags are equal sets."""
-    chars = df.select("seq", F.explode(F.when(F.length("title") > 0, F.split("title", "")).otherwise(F.array(F.lit("")))).alias("c"))
-    counted = chars.groupBy("seq", "c").agg(F.count("*").alias("n"))
-    return counted.select("seq", F.explode(F.transform(F.sequence(F.lit(1), F.col("n").cast("int")), lambda i: F.concat(F.col("c"), i.cast("string")))).alias("token"))
+def _title_prefixes(titles: DataFrame, t: float) -> DataFrame:
+    """(seq, token): the rarest tokens of each title, of which two titles with a ratio above ``t`` share one.
+
+    The ratio's blocks hold M of the n letters' halves and leave U of them out, with at most U + 1 blocks, so at least
+    M - U - 1 > n * (1.5 t - 1) - 1 pairs of neighbours are common to both. Titles too short for that to be one share
+    letters, of which a title of length a has more than a * t / (2 - t) in common.
+    """
+    title, size = F.col("title"), F.col("size")
+    df = titles.select("seq", F.coalesce("title", F.lit("")).alias("title")).withColumn("size", F.length("title"))
+    gain = 1.5 * t - 1
+    short = 1 / gain if gain > 0 else 1e9
+    letters = _numbered(df.where(size <= short * (2 - t) / t), F.when(size > 0, F.split(title, "")).otherwise(F.array(F.lit(""))), "1")
+    pairs = _numbered(df.where(size > short), F.transform(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), lambda i: F.substring(title, i, F.lit(2))), "2")
+    needed = F.greatest(F.lit(1), F.floor(2 * size / (2 - t) * gain - 1)) if gain > 0 else F.lit(1)
+    kept = lambda rows, most: rows.join(rows.groupBy("token").agg(F.count("*").alias("df")), "token").withColumn("rank", F.row_number().over(Window.partitionBy("seq").orderBy("df", "token"))).where(F.col("rank") <= most).select("seq", "token")
+    return kept(letters, F.greatest(F.lit(1), size - F.floor(size * t / (2 - t)))).unionByName(kept(pairs, F.greatest(F.lit(1), size - needed)))
 
 
 def similar_pairs(later: DataFrame, earlier: DataFrame, t: float) -> DataFrame:
     """(seq_a, seq_b) of a later and an earlier article whose titles and bodies both have a ratio above ``t``.
 
-    No pair is lost: a ratio above ``t`` needs more than t / (2 - t) of a title's characters in common, so two
-    such titles share one of the rarest rest of each. Pairs that do are held against the bounds that the
-    common characters and the lengths set, and only those that may reach ``t`` against the exact ratio.
+    No pair is lost: titles meet on the rarest of their pairs of letters (``_title_prefixes``), those whose lengths, and
+    whose bodies' lengths, can't reach ``t`` are left out as they meet, then those whose bags of letters can't, and
+    the rest are held against the exact ratio.
     """
+    sizes = lambda rows: rows.select("seq", F.length(F.coalesce("title", F.lit(""))).alias("lt"), F.length(F.coalesce("body", F.lit(""))).alias("lb"))
     both = later.select("seq", "title").unionByName(earlier.select("seq", "title")).distinct()
-    tokens = _title_tokens(both.withColumn("title", F.coalesce("title", F.lit(""))))
-    df = tokens.groupBy("token").agg(F.count("*").alias("df"))
-    w = Window.partitionBy("seq")
-    ranked = tokens.join(df, "token").withColumns({"rank": F.row_number().over(w.orderBy("df", "token")), "size": F.count("*").over(w)})
-    prefix = ranked.where(F.col("rank") <= F.col("size") - F.floor(F.col("size") * t / (2 - t))).select("seq", "token")
-    bags = tokens.groupBy("seq").agg(F.collect_list("token").alias("bag"))
+    prefix = checkpointed(_title_prefixes(both, t))
+    bags = both.select("seq", F.split(F.coalesce("title", F.lit("")), "").alias("bag"))
+    token = lambda rows, x: prefix.join(sizes(rows), "seq").select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("seq", "lt", "lb")])
+    fits = lambda c: (F.least(f"a_{c}", f"b_{c}") * 2 > (F.col(f"a_{c}") + F.col(f"b_{c}")) * t) | (F.col(f"a_{c}") + F.col(f"b_{c}") == 0)
+    met = shuffled(token(later, "a")).join(shuffled(token(earlier, "b")), "token").where((F.col("a_seq") > F.col("b_seq")) & fits("lt") & fits("lb")).select("a_seq", "b_seq").distinct()
+    bag = lambda x: bags.select(F.col("seq").alias(f"{x}_seq"), F.col("bag").alias(f"{x}_bag"))
+    # letters of each that the other has at all: no fewer than the common ones of the bags
+    shared = lambda x, y: F.size(F.filter(x, lambda c: F.array_contains(y, c)))
+    common = F.least(shared(F.col("a_bag"), F.col("b_bag")), shared(F.col("b_bag"), F.col("a_bag")))
+    near = met.join(bag("a"), "a_seq").join(bag("b"), "b_seq").where(2 * common > t * (F.size("a_bag") + F.size("b_bag"))).select("a_seq", "b_seq")
     side = lambda rows, x: rows.select(*[F.col(c).alias(f"{x}_{c}") for c in ("seq", "title", "body")])
     token = lambda rows, x: prefix.join(rows.select("seq"), "seq", "left_semi").select(F.col("seq").alias(f"{x}_seq"), "token")
     met = token(later, "a").join(token(earlier, "b"), "token").where("a_seq > b_seq").select("a_seq", "b_seq").distinct()
@@ -87,11 +103,10 @@ def similar_pairs(later: DataFrame, earlier: DataFrame, t: float) -> DataFrame:
     common = F.size(F.array_intersect("a_bag", "b_bag"))
     near = met.join(bag("a"), "a_seq").join(bag("b"), "b_seq").where(2 * common > t * (F.size("a_bag") + F.size("b_bag"))).select("a_seq", "b_seq")
     near = near.join(side(later, "a"), "a_seq").join(side(earlier, "b"), "b_seq")
-    near = near.where(may_reach(F.col("a_title"), F.col("b_title"), t) & may_reach(F.col("a_body"), F.col("b_body"), t))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
-            keep = [ratio(p, q) > t and bag_ratio(r, s) > t and ratio(r, s) > t for p, q, r, s in zip(x["a_title"], x["b_title"], x["a_body"], x["b_body"], strict=True)]
+            keep = [bag_ratio(p, q) > t and bag_ratio(r, s) > t and ratio(p, q) > t and ratio(r, s) > t for p, q, r, s in zip(x["a_title"], x["b_title"], x["a_body"], x["b_body"], strict=True)]
             yield x.loc[keep, ["a_seq", "b_seq"]].rename(columns={"a_seq": "seq_a", "b_seq": "seq_b"})
 
     return near.select("a_seq", "b_seq", "a_title", "b_title", "a_body", "b_body").mapInPandas(run, "seq_a bigint, seq_b bigint")
@@ -134,10 +149,33 @@ def similarity_dedup(articles: DataFrame, t: float = 0.8, priorities: dict[str,
 
 
 def visit_ref(player: Column, candidate: Column, name: Column) -> Column:
-    """Reference of a person in a visit: player, else candidate, else name."""
+    """Reference of a person in a visit: player, else candidate, else the key of the name."""
+    return F.coalesce(player, F.concat(F.lit("c:"), candidate), F.concat(F.lit("n:"), T.player_key(name)))
+
+
+def comment_ref(player: Column, candidate: Column, team: Column) -> Column:
+    """Whose comments a new one is compared with: the player's, else the candidate's, else those of the club."""
+    return F.coalesce(player, F.concat(F.lit("c:"), candidate), F.concat(F.lit("t:"), team))
+
+
+def named_ref(player: Column, candidate: Column, name: Column) -> Column:
+    """Whose comments are repaired together: the player's, else the candidate's, else those of the name as typed."""
     return F.coalesce(player, F.concat(F.lit("c:"), candidate), F.concat(F.lit("n:"), name))
 
 
+def against_stored(incoming: DataFrame, stored: DataFrame, t: float = 0.8, priorities: dict[str, int] | None = None) -> DataFrame:
+    """(seq, action, stored_seq) of each incoming article: 'new', 'update' of the first stored article it is similar to if
+    its source has the better priority, else 'drop'.
+
+    Both: seq, title, body, source; the stored ones are numbered before the incoming ones, in their order.
+    """
+    first = similar_pairs(incoming, stored, t).groupBy("seq_a").agg(F.min("seq_b").alias("stored_seq"))
+    prio = lambda df, x: df.select(F.col("seq").alias(x), T.source_priority(F.col("source"), priorities).alias(f"{x}_prio"))
+    told = prio(incoming, "seq").join(first.withColumnRenamed("seq_a", "seq"), "seq", "left").join(prio(stored, "stored_seq"), "stored_seq", "left")
+    action = F.when(F.col("stored_seq").isNull(), "new").when(F.col("seq_prio") < F.col("stored_seq_prio"), "update").otherwise("drop")
+    return told.select("seq", action.alias("action"), "stored_seq")
+
+
 def absorbed_visits(visits: DataFrame) -> DataFrame:
     """Visits (id, ref, team, event_date, aggregator, created_at) one per ref, team and date; an undated one goes
     if its ref and team, which must be named, have a dated one."""
@@ -163,6 +201,29 @@ def survivor_rows(df: DataFrame, keys: list[str], order: Column, fields: list[st
     return got.select(*[F.coalesce(F.col(f"_row.{c}"), F.col(f"_f_{c}")).alias(c) if c in fields else F.col(f"_row.{c}").alias(c) for c in df.columns], "members")
 
 
+def merged_candidates(df: DataFrame) -> dict[str, DataFrame]:
+    """Candidates of one name and school merged: ``kept`` rows with ``members``, ``moved`` ids (id, survivor, player_id).
+
+    The row kept is the one with a player, of the best status, with most sources, the oldest; its empty fields are
+    filled from the other rows in the order of their ids, and where it has no player the year is the latest of all.
+    ``moved`` says for each other row where its children go and whose player they get, if the row kept has one.
+    """
+    fields = ("player_id", "name_kana", "category", "positions", "throws", "bats", "height_cm", "weight_kg", "birth_date", "fastball_max", "description", "team", "team_name", "draft_year", "school_year")
+    some = lambda c: F.col(c).isNotNull() & ((F.size(c) > 0) if dict(df.dtypes)[c].startswith("array") else (F.col(c).cast("string") != ""))
+    name, school = F.coalesce(T.player_key(F.col("name")), F.lit("")), F.coalesce(T.school_key(F.coalesce(F.nullif("team", F.lit("")), F.col("team_name"))), F.lit(""))
+    status = F.coalesce(T.looked_up({"promoted": 3, "pending": 2, "rejected": 1}, F.col("status")), F.lit(0))
+    order = F.struct((~some("player_id")).alias("a"), (-status).alias("b"), (-F.coalesce("source_count", F.lit(0))).alias("c"), F.col("created_at").alias("d"), F.col("id").alias("e"))
+    keyed = df.withColumns({"_name": name, "_school": school})
+    fill = [F.min_by(F.when(some(f), F.col(f)), F.when(some(f), F.col("id"))).alias(f"_f_{f}") for f in fields]
+    groups = keyed.groupBy("_name", "_school").agg(F.min_by(F.struct(*df.columns), order).alias("_row"), F.count("*").alias("members"), F.max(F.nullif("draft_year", F.lit(0))).alias("_year"), *fill)
+    own = lambda f: F.when((F.size(f"_row.{f}") > 0) if dict(df.dtypes)[f].startswith("array") else (F.col(f"_row.{f}").cast("string") != ""), F.col(f"_row.{f}"))
+    filled = {f: F.coalesce(own(f), F.col(f"_f_{f}"), F.col(f"_row.{f}")) for f in fields}
+    filled["draft_year"] = F.when(own("player_id").isNull(), F.coalesce("_year", filled["draft_year"])).otherwise(filled["draft_year"])
+    kept = groups.select(*[filled[c].alias(c) if c in filled else F.col(f"_row.{c}").alias(c) for c in df.columns], "members")
+    moved = keyed.select("id", "_name", "_school").join(groups.where("members > 1").select("_name", "_school", F.col("_row.id").alias("survivor"), own("player_id").alias("player_id")), ["_name", "_school"]).where("id <> survivor")
+    return {"kept": kept, "moved": moved.select("id", "survivor", "player_id")}
+
+
 def newest(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
     """The first ``n`` rows of each key; ``order`` must break ties."""
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_rn") <= n).drop("_rn")

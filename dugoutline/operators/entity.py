@@ -46,25 +46,33 @@ def match_cascade(entries: DataFrame, players: DataFrame) -> DataFrame:
     return out.select("entry_id", F.when(F.col("n").isNull(), "unmatched").when(single, "matched").otherwise("ambiguous").alias("status"), F.when(single, F.col("player_id")).alias("player_id"), F.when(single, F.col("matched_by")).alias("matched_by"), F.when(single, F.col("warnings")).alias("warnings"))
 
 
+def compatible_schools(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(a, b): school keys of either side one of which is a part of the other."""
+    parts = lambda c: F.flatten(F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.transform(F.sequence(F.lit(1), F.length(c) - i + 1), lambda n: F.substring(F.col(c), i, n))))
+    a, b = left.where("school <> ''").select(F.col("school").alias("a")).distinct(), right.where("school <> ''").select(F.col("school").alias("b")).distinct()
+    within = a.select("a", F.explode(F.array_distinct(parts("a"))).alias("part")).join(b, F.col("part") == F.col("b")).select("a", "b")
+    around = b.select("b", F.explode(F.array_distinct(parts("b"))).alias("part")).join(a, F.col("part") == F.col("a")).select("a", "b")
+    return within.unionByName(around).distinct()
+
+
 def suggestions(entries: DataFrame, players: DataFrame, limit: int = 3) -> DataFrame:
     """(entry_id, player_id, similarity, same_school, rank): registered people whose name is close, of a
     compatible school or the same category, best first.
 
-    A pair needs a character of the name in common and a length that lets the ratio reach its bound, so pairs
-    meet on characters of their names, each weighed by the bound before the exact ratio. ``limit`` is the
-    report's length.
+    Compatible schools are found first, among the distinct ones: the key of one is a part of the other's, so it is
+    equal to one of its parts. People at such schools meet there if they share a letter; a name of the same category only
+    needs a ratio of 0.85, which two names without a common pair of letters can't have. ``limit`` is the report's length.
     """
     e = entries.where("name_key <> ''").select("entry_id", F.col("name_key").alias("e_name"), F.col("school_key").alias("e_school"), F.col("category").alias("e_category"))
     p = players.where("name_key <> ''").select(F.col("id").alias("player_id"), F.col("name_key").alias("p_name"), F.col("school_key").alias("p_school"), F.col("category").alias("p_category"))
-    # a ratio of 0.6 needs 0.6 * (la + lb) / 2 characters in common, so at least one of any pair of neighbours
-    # or one single character is shared; the pair of characters with its count is the meeting key
-    chars = lambda c: F.explode(F.array_distinct(F.split(c, "")))
-    met = e.select("*", chars(F.col("e_name")).alias("c")).join(p.select("*", chars(F.col("p_name")).alias("c")), "c")
-    counted = met.groupBy("entry_id", "e_name", "e_school", "e_category", "player_id", "p_name", "p_school", "p_category").agg(F.count("*").alias("common"))
-    same = compatible(F.col("e_school"), F.col("p_school"))
-    bound = F.when(same, 0.6).otherwise(0.85)
-    # repeated characters may count more than once, so the bound uses the longer multiple
-    near = counted.withColumns({"same_school": same, "bound": bound}).where(F.col("same_school") | F.coalesce(F.col("e_category") == F.col("p_category"), F.col("e_category").isNull() & F.col("p_category").isNull()))
+    schools = compatible_schools(e.select(F.col("e_school").alias("school")), p.select(F.col("p_school").alias("school")))
+    letters = lambda c: F.explode(F.array_distinct(F.split(c, "")))
+    pairs = lambda c: F.explode(F.array_distinct(F.when(F.length(c) > 1, F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.substring(c, i, F.lit(2)))).otherwise(F.array(F.col(c)))))
+    near_by = e.join(schools.withColumnRenamed("a", "e_school"), "e_school").select("entry_id", F.col("b").alias("school"), letters("e_name").alias("c")).join(p.select("player_id", F.col("p_school").alias("school"), letters("p_name").alias("c")), ["school", "c"]).select("entry_id", "player_id").distinct().withColumn("same_school", F.lit(True))
+    kind = lambda c: F.coalesce(c, F.lit(""))
+    alike = e.select("entry_id", kind("e_category").alias("k"), pairs("e_name").alias("c")).join(p.select("player_id", kind("p_category").alias("k"), pairs("p_name").alias("c")), ["k", "c"]).select("entry_id", "player_id").distinct()
+    met = near_by.unionByName(alike.withColumn("same_school", F.lit(False))).groupBy("entry_id", "player_id").agg(F.max("same_school").alias("same_school"))
+    near = met.join(e.select("entry_id", "e_name"), "entry_id").join(p.select("player_id", "p_name"), "player_id").withColumn("bound", F.when(F.col("same_school"), 0.6).otherwise(0.85))
     near = near.where(F.least(F.length("e_name"), F.length("p_name")) * 2 >= F.col("bound") * (F.length("e_name") + F.length("p_name")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

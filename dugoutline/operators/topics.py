@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import defaultdict, deque
 from datetime import date
 
 import pandas as pd
@@ -61,20 +62,21 @@ def replay(rows: list[tuple], days: int = NEAR_DAYS, newest: int = NEWEST) -> li
     A signal joins the topic of its key, else the newest of the last ``newest`` of its type and player with an
     event near its day (without a day the newest), else opens one. A topic's events are the days of all its urls.
     """
-    topics: list[dict] = []
+    of: dict[tuple, deque] = defaultdict(lambda: deque(maxlen=newest))
     by_key: dict[str, dict] = {}
     out = []
     for sid, kind, key, player, name, url, day, url_days in rows:
         topic = by_key.get(key)
         if topic is None and (player or name):
-            same = [t for t in reversed(topics) if t["type"] == kind and (t["player"] == player if player else t["name"] == name)][:newest]
+            same = list(reversed(of[kind, player, None] if player else of[kind, None, name]))[:newest]
             if day is None:
                 topic = same[0] if same else None
             else:
                 topic = next((t for t in same if any(abs((d - day).days) <= days for d in t["days"])), None)
         if topic is None:
             topic = {"id": sid, "type": kind, "player": player, "name": name, "urls": set(), "days": set()}
-            topics.append(topic)
+            of[kind, player, None].append(topic)
+            of[kind, None, name].append(topic)
             by_key.setdefault(key, topic)
         if url not in topic["urls"]:
             topic["urls"].add(url)

@@ -16,13 +16,13 @@ from dugoutline.functions.timestamps import article_instants
 from dugoutline.operators import dedup, entity, links, promote, roster, signals, timeline, topics
 from dugoutline.plans import adapt as A
 from dugoutline.plans import sql as S
-from dugoutline.session import table
+from dugoutline.session import checkpointed, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 AGGREGATOR = "まとめポータル"
 CLUBS, CLUB_ORDER = V.TEST_CLUBS, tuple(V.TEST_CLUBS)
-REF = "coalesce(player_id, 'c:' || player_candidate_id, 'n:' || player_name)"
+REF = f"coalesce(player_id, 'c:' || player_candidate_id, 'n:' || {S.player_key('player_name')})"
 PRIORITY = S.case("source", V.TEST_PRIORITIES, "5")
 
 
@@ -65,39 +65,61 @@ def _instant_text(ts):
     return F.concat(day(ts).cast("string"), F.lit("T"), clock[0], F.lit(":"), clock[1], F.lit(":"), clock[2], F.lit("Z"))
 
 
-def _comment_items(spark, d, art) -> DataFrame:
-    c = A.comments(spark, d).where("player_id is not null or player_candidate_id is not null").withColumn("_said", _instant_text(F.col("published_at"))).drop("published_at")
+def _quoted(spark, d, art, clock) -> DataFrame:
+    """Comments on people with the time they were said, else that of their article."""
+    c = A.comments(spark, d).where("player_id is not null or player_candidate_id is not null").withColumn("_said", clock(F.col("published_at"))).drop("published_at")
     with_article = c.join(art.withColumnRenamed("category", "a_category"), F.col("source_url") == F.col("url"), "left")
     return timeline.branch(with_article, "scout_comment", player_id=F.col("player_id"), player_candidate_id=F.col("player_candidate_id"), crawled_article_id=F.col("article_id"), source_url=F.col("source_url"), title=F.col("title"), published_at=F.coalesce("_said", "published_at"), source=F.col("source"), category=F.col("a_category"), body=F.concat_ws(" ", "team_name", "scout_name", "comment"), created_at=F.col("created_at"))
 
 
-def _timeline(spark, d, strict=False) -> DataFrame:
-    """Items as the SQL tells them, which doesn't order by the time of publication; ``timeline_full`` does."""
-    art = A.articles(spark, d).select(F.col("id").alias("article_id"), "url", "title", "source", "category", "published_at")
-    ev = A.evidence(spark, d)
-    by_id = ev.join(art.select(F.col("article_id").alias("_a"), "title", "source", "category", "published_at"), F.col("article_id") == F.col("_a"), "left")
-    told = timeline.branch(by_id, "candidate", player_id=F.col("player_id"), player_candidate_id=F.col("candidate_id"), crawled_article_id=F.col("article_id"), source_url=F.col("url"), title=F.col("title"), published_at=F.lit(None), source=F.col("source"), category=F.col("category"), body=F.col("name"), confidence=F.col("confidence"), created_at=F.col("created_at"))
-    news = timeline.news_once(told, AGGREGATOR, strict)
-    c = A.comments(spark, d).where("player_id is not null or player_candidate_id is not null")
-    with_article = c.join(art.withColumnRenamed("category", "a_category"), F.col("source_url") == F.col("url"), "left")
-    quoted = timeline.branch(with_article, "scout_comment", player_id=F.col("player_id"), player_candidate_id=F.col("player_candidate_id"), crawled_article_id=F.col("article_id"), source_url=F.col("source_url"), title=F.col("title"), published_at=F.lit(None), source=F.col("source"), category=F.col("a_category"), body=F.concat_ws(" ", "team_name", "scout_name", "comment"), created_at=F.col("created_at"))
-    return news.unionByName(quoted)
+def _published_articles(spark, d) -> DataFrame:
+    """Articles with the time of publication as the store keeps it: the clock of the page, null where it is no date."""
+    p = F.col("published_at")
+    kept = F.when(F.try_to_timestamp(D.wall_clock(p)).isNotNull(), D.timestamp_text(p))
+    return A.articles(spark, d).select(F.col("id").alias("article_id"), "url", "title", "source", "category", kept.alias("published_at"))
+
+
+def _clock_text(ts):
+    """A timestamp as its clock in Japan with the offset, whatever the session's zone."""
+    return F.concat(F.substring(_instant_text(F.timestamp_micros(F.unix_micros(ts) + 32_400_000_000)), 1, 19), F.lit("+09:00"))
+
+
+def _news(spark, d, art) -> DataFrame:
+    """News of candidates, and of registered players, whose items have no candidate."""
+    told = A.evidence(spark, d).join(art.select(F.col("article_id").alias("_a"), "title", "source", "category", "published_at"), F.col("article_id") == F.col("_a"), "left")
+    common = {"crawled_article_id": F.col("article_id"), "source_url": F.col("url"), "title": F.col("title"), "published_at": F.col("published_at"), "source": F.col("source"), "category": F.col("category"), "body": F.col("name"), "confidence": F.col("confidence"), "created_at": F.col("created_at"), "player_id": F.col("player_id")}
+    return timeline.branch(told.where("player_id is null"), "candidate", player_candidate_id=F.col("candidate_id"), **common).unionByName(timeline.branch(told.where("player_id is not null"), "player_article", **common))
 
 
+def _timeline(spark, d) -> DataFrame:
+    """News of candidates once per person and title, and their comments, with the time of publication."""
+    art = _published_articles(spark, d)
+    told = A.evidence(spark, d).join(art.select(F.col("article_id").alias("_a"), "title", "source", "category", "published_at"), F.col("article_id") == F.col("_a"), "left")
+    items = timeline.branch(told, "candidate", player_id=F.col("player_id"), player_candidate_id=F.col("candidate_id"), crawled_article_id=F.col("article_id"), source_url=F.col("url"), title=F.col("title"), published_at=F.col("published_at"), source=F.col("source"), category=F.col("category"), body=F.col("name"), confidence=F.col("confidence"), created_at=F.col("created_at"))
+    return timeline.news_once(items, AGGREGATOR).unionByName(_quoted(spark, d, art, _clock_text))
+
+
+_PUBLISHED = f"case when try_cast({S.wall_clock('a.published_at')} as timestamp) is not null then replace({S.wall_clock('a.published_at')}, ' ', 'T') || '+09:00' end"
+_OF_NEWS = f"order by case when starts_with(source, '{AGGREGATOR}') then 1 else 0 end, published_at desc nulls last, created_at nulls last, source_url nulls first, player_candidate_id nulls first"
+_QUOTED_SQL = """select s.player_id, s.player_candidate_id, a.id, s.source_url, a.title, coalesce({said}, a.published_at), a.source, a.category, 'scout_comment', concat_ws(' ', s.team_name, s.scout_name, s.comment), null, null, epoch_us(s.created_at)
+from scout_comments s left join art a on a.url = s.source_url where s.player_id is not null or s.player_candidate_id is not null""".format(said=S.instant_text("s.published_at"))
 _TIMELINE_SQL = f"""
-with n as (select c.player_id, c.id as player_candidate_id, c.crawled_article_id, c.latest_source_url as source_url, a.title, a.source, a.category, 'candidate' as item_type, c.name as body, c.latest_confidence as confidence, c.created_at
-  from player_candidates c left join crawled_articles a on a.id = c.crawled_article_id),
-r as (select *, row_number() over (partition by player_id, coalesce({_TITLE}, source_url, crawled_article_id) order by case when source = '{AGGREGATOR}' then 1 else 0 end, created_at nulls last, source_url nulls first, player_candidate_id) as rn from n)
-select player_id, player_candidate_id, crawled_article_id, source_url, title, source, category, item_type, body, confidence, epoch_us(created_at) as created_us from r where rn = 1
+with art as (select a.id, a.url, a.title, a.source, a.category, {_PUBLISHED} as published_at from crawled_articles a),
+n as (select c.player_id, c.id as player_candidate_id, c.crawled_article_id, c.latest_source_url as source_url, a.title, a.published_at, a.source, a.category, 'candidate' as item_type, c.name as body, c.latest_confidence as confidence, c.created_at
+  from player_candidates c left join art a on a.id = c.crawled_article_id),
+r as (select *, row_number() over (partition by player_id, coalesce({_TITLE}, source_url, crawled_article_id) {_OF_NEWS}) as rn from n)
+select player_id, player_candidate_id, crawled_article_id, source_url, title, published_at, source, category, item_type, body, confidence, cast(null as int) as score, epoch_us(created_at) as created_us from r where rn = 1
 union all
-select s.player_id, s.player_candidate_id, a.id, s.source_url, a.title, a.source, a.category, 'scout_comment', concat_ws(' ', s.team_name, s.scout_name, s.comment), null, epoch_us(s.created_at)
-from scout_comments s left join crawled_articles a on a.url = s.source_url where s.player_id is not null or s.player_candidate_id is not null"""
+{_QUOTED_SQL}"""
+
+
+def _timeline_columns(items: DataFrame) -> DataFrame:
+    return items.withColumn("created_us", F.unix_micros("created_at")).drop("created_at").select("player_id", "player_candidate_id", "crawled_article_id", "source_url", "title", "published_at", "source", "category", "item_type", "body", "confidence", "score", "created_us")
 
 
 @query(_TIMELINE_SQL)
 def timeline_union_dedup(spark, d):
-    t = _timeline(spark, d)
-    return t.select("player_id", "player_candidate_id", "crawled_article_id", "source_url", "title", "source", "category", "item_type", "body", "confidence", F.unix_micros("created_at").alias("created_us"))
+    return _timeline_columns(_timeline(spark, d))
 
 
 @query("select item_type, source, count(*) as items from (" + _TIMELINE_SQL + ") group by all")
@@ -121,7 +143,7 @@ def comment_keys(spark, d):
 
 _V = ("".join(V.VARIANTS), "".join(V.VARIANTS.values()))
 _SCHOOL = f"regexp_replace(regexp_replace({S.sub('translate(team, ' + S.quote(_V[0]) + ', ' + S.quote(_V[1]) + ')', S.SPACE, '')}, '(大學|大学)$', '大'), '(高等学校|高校)$', '高')"
-_ALIASES = {k: "".join(V.VARIANTS.get(c, c) for c in v) for k, v in V.SCHOOL_ALIASES.items()}
+_ALIASES = V.SCHOOL_ALIASES
 
 
 @query(f"select id, nullif(lower({S.case(_SCHOOL, _ALIASES, _SCHOOL)}), '') as school from players")
@@ -129,7 +151,7 @@ def school_suffix_alias_key(spark, d):
     return table(spark, d, "players").select("id", T.school_form(T.translated(F.col("team"), V.VARIANTS)).alias("school"))
 
 
-@query()
+@query(f"select id, {S.player_key('name')} as player_key, {S.name_key('name')} as name_key, {S.kana_key('name_kana')} as kana_key, {S.school_key('coalesce(team, team_name)')} as school_key from player_candidates")
 def name_keys(spark, d):
     c = A.candidates(spark, d)
     return c.select("id", T.player_key(F.col("name")).alias("player_key"), T.name_key(F.col("name")).alias("name_key"), T.kana_key(F.col("name_kana")).alias("kana_key"), T.school_key(F.coalesce("team", "team_name")).alias("school_key"))
@@ -176,17 +198,7 @@ def content_hashes(spark, d):
 
 # --- dates ------------------------------------------------------------------------------------------------
 
-_P = S.sub(S.strip("published_at"), r"^\[|\]$", "")
-_P = S.strip(_P)
-_ISO = r"^(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2}):(\d{2})[+-]\d{2}:\d{2}"
-_JP = r"^(\d{4})年(\d{1,2})月(\d{1,2})日(?:\s+(\d{1,2})[:時](\d{1,2})[分]?)?"
-_x = lambda p, i: f"regexp_extract({_P}, {S.quote(p)}, {i})"
-_two = lambda e: f"lpad({e}, 2, '0')"
-_fmt = lambda p, f: f"case when {S.hit(_P, p)} then strftime(try_strptime({_P}, '{f}'), '%Y-%m-%d %H:%M:%S') end"
-_WALL = f"""coalesce(case when {S.hit(_P, _ISO)} then {_x(_ISO, 1)} || '-' || {_x(_ISO, 2)} || '-' || {_x(_ISO, 3)} || ' ' || {_x(_ISO, 4)} || ':' || {_x(_ISO, 5)} || ':' || {_x(_ISO, 6)} end,
-case when {S.hit(_P, _JP)} then {_x(_JP, 1)} || '-' || {_two(_x(_JP, 2))} || '-' || {_two(_x(_JP, 3))} || case when {_x(_JP, 4)} <> '' and {_x(_JP, 5)} <> '' then ' ' || {_two(_x(_JP, 4))} || ':' || {_two(_x(_JP, 5))} || ':00' else ' 00:00:00' end end,
-case when {S.hit(_P, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$')} then {_P} || ' 00:00:00' end, {_fmt('^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$', '%Y/%m/%d')}, {_fmt('^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$', '%m/%d/%Y')}, {_fmt('^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$', '%d/%m/%Y')},
-case when {S.hit(_P, '^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?$')} then replace(left({_P}, 19), 'T', ' ') end)"""
+_WALL = S.wall_clock("published_at")
 
 
 @query(f"select id, replace({_WALL}, ' ', 'T') || '+09:00' as timestamp_text, left({_WALL}, 16) as with_time, left({_WALL}, 10) as day from crawled_articles")
@@ -340,7 +352,10 @@ def pair_representative(spark, d):
 
 
 def _seq_articles(spark, d):
-    return A.articles(spark, d).select(F.xxhash64("id").alias("seq"), "title", "body", "source")
+    """Articles numbered in the order they were stored."""
+    own = A.articles(spark, d)
+    order = own.select("id", "created_at").orderBy(F.asc_nulls_first("created_at"), "id").withColumn("seq", F.monotonically_increasing_id()).select("id", "seq")
+    return checkpointed(own.select("id", "title", "body", "source").join(checkpointed(order), "id").select((F.col("seq") + 1).alias("seq"), "title", "body", "source"))
 
 
 @query()
@@ -367,9 +382,10 @@ def link_priority(spark, d):
     return links.by_article_priority(signals_, A.evidence(spark, d)).select("id", "player_id", "candidate_id")
 
 
-@query()
+@query(f"""with k as (select latest_source_url as url, {S.name_key('name')} as k, id from player_candidates where latest_source_url is not null), c as (select id, source_url as url, {S.name_key('player_name')} as k from scout_comments where player_id is null)
+select c.id, min(k.id) as candidate_id from c join k using (url, k) where k <> '' group by c.id""")
 def comment_candidate_link(spark, d):
-    return links.comment_candidates(A.comments(spark, d), A.evidence(spark, d))
+    return links.comment_candidates(A.comments(spark, d), A.evidence(spark, d).where("url is not null"))
 
 
 @query("select l_orderkey as candidate_id, count(*) as source_count, arg_max(l_partkey, (l_shipdate, l_linenumber, l_partkey)) as latest_url, arg_max(l_tax, (l_shipdate, l_linenumber, l_partkey)) as latest_confidence from lineitem group by l_orderkey")
@@ -583,12 +599,18 @@ def stats_expand(spark, d):
     return promote.stats_rows(long, _STATS).select("ref", "name", "value")
 
 
-@query()
+_READY = f"(select *, {S.name_key('name')} as k from player_candidates where status = 'approved' and player_id is null)"
+_LINKED = f"(select c.id as candidate_id, min(p.id) as player_id from {_READY} c join (select id, draft_year, {S.name_key('name')} as k from players) p using (k) where c.k <> '' and (c.draft_year is null or p.draft_year is null or c.draft_year = p.draft_year) group by c.id)"
+_CODE = f"case {S.category('category')} {' '.join(f'when {S.quote(k)} then {S.quote(v)}' for k, v in promote.CATEGORY_CODES.items())} else {S.category('category')} end"
+_HANDS = "case when upper(trim(throws)) = 'R' or contains(throws, '右') then 'R' when upper(trim(throws)) = 'L' or contains(throws, '左') then 'L' end as throw_hand, case when upper(trim(bats)) = 'S' or contains(bats, '両') or contains(bats, 'スイッチ') then 'S' when upper(trim(bats)) = 'R' or contains(bats, '右') then 'R' when upper(trim(bats)) = 'L' or contains(bats, '左') then 'L' end as bat_hand"
+
+
+@query(f"select id as candidate_id, name, name_kana, coalesce(team, team_name) as team, {_CODE} as category, draft_year, 0 as rank_code, {_positions_sql()} as positions, {_HANDS}, height_cm, weight_kg, fastball_max from {_READY} where k <> '' and id not in (select candidate_id from {_LINKED})")
 def promotion_players(spark, d):
     return promote.promotions(A.candidates(spark, d), table(spark, d, "players"))["players"].withColumn("positions", F.array_join("positions", ","))
 
 
-@query()
+@query(f"select * from {_LINKED}")
 def promotion_links(spark, d):
     return promote.promotions(A.candidates(spark, d), table(spark, d, "players"))["links"]
 
@@ -625,20 +647,39 @@ def newest_per_key(spark, d):
 # --- further queries --------------------------------------------------------------------------------------
 
 
-@query()
-def timeline_full(spark, d):
-    """All five kinds of items: candidate and registered-player news, comments, attention, profile pages."""
-    art = _dated_articles(spark, d)
+def _five_branches(spark, d, art, clock) -> DataFrame:
     ev = A.evidence(spark, d)
-    told = ev.join(art.select(F.col("article_id").alias("_a"), "title", "source", "category", "published_at"), F.col("article_id") == F.col("_a"), "left")
-    common = {"crawled_article_id": F.col("article_id"), "source_url": F.col("url"), "title": F.col("title"), "published_at": F.col("published_at"), "source": F.col("source"), "category": F.col("category"), "body": F.col("name"), "confidence": F.col("confidence"), "created_at": F.col("created_at"), "player_id": F.col("player_id")}
-    news = timeline.branch(told.where("player_id is null"), "candidate", player_candidate_id=F.col("candidate_id"), **common).unionByName(timeline.branch(told.where("player_id is not null"), "player_article", **common))
     person = ev.where("article_id is not null").groupBy("article_id").agg(F.min_by(F.struct("player_id", "candidate_id"), F.struct(F.col("player_id").isNull(), F.col("created_at"), F.col("id"))).alias("_p"))
     seen = _attention(spark, d).join(art, F.col("id") == F.col("article_id")).drop("id").join(person, "article_id").where("_p.player_id is not null or _p.candidate_id is not null")
     attention = timeline.branch(seen, "attention", player_id=F.col("_p.player_id"), player_candidate_id=F.col("_p.candidate_id"), crawled_article_id=F.col("article_id"), source_url=F.col("url"), title=F.col("title"), published_at=F.col("published_at"), source=F.col("source"), category=F.col("category"), body=F.col("sentence"), score=F.col("score"))
-    pages = timeline.branch(table(spark, d, "players"), "site_article", player_id=F.col("id"), title=F.col("name"), source=F.lit("profile"), category=F.col("category"), created_at=F.col("created_at"))
-    quoted = _comment_items(spark, d, art)
-    return timeline.news_once(news, AGGREGATOR).unionByName(quoted).unionByName(attention).unionByName(pages).orderBy(F.desc_nulls_last("created_at"), "item_type", "player_id", "body")
+    pages = timeline.branch(table(spark, d, "players"), "site_article", player_id=F.col("id"), title=F.col("name"), published_at=clock(F.col("created_at")), source=F.lit("profile"), category=F.col("category"), created_at=F.col("created_at"))
+    items = timeline.news_once(_news(spark, d, art), AGGREGATOR).unionByName(_quoted(spark, d, art, clock)).unionByName(attention).unionByName(pages)
+    return items.orderBy(F.desc_nulls_last("published_at"), F.desc_nulls_last("created_at"), "item_type", "player_id", "body")
+
+
+@query()
+def timeline_full(spark, d):
+    """All five kinds of items, published at instants told by any notation: candidate and registered-player news,
+    comments, attention, profile pages."""
+    return _five_branches(spark, d, _dated_articles(spark, d), _instant_text)
+
+
+_FIVE_SQL = f"""
+with art as (select a.id, a.url, a.title, a.source, a.category, {_PUBLISHED} as published_at from crawled_articles a),
+n as (select c.player_id, case when c.player_id is null then c.id end as player_candidate_id, c.crawled_article_id, c.latest_source_url as source_url, a.title, a.published_at, a.source, a.category, case when c.player_id is null then 'candidate' else 'player_article' end as item_type, c.name as body, c.latest_confidence as confidence, c.created_at
+  from player_candidates c left join art a on a.id = c.crawled_article_id),
+r as (select *, row_number() over (partition by player_id, coalesce({_TITLE}, source_url, crawled_article_id) {_OF_NEWS}) as rn from n),
+p as (select crawled_article_id as article_id, player_id, id as candidate_id from player_candidates where crawled_article_id is not null qualify row_number() over (partition by crawled_article_id order by player_id is null, created_at nulls first, id) = 1)
+select player_id, player_candidate_id, crawled_article_id, source_url, title, published_at, source, category, item_type, body, confidence, cast(null as int) as score, epoch_us(created_at) as created_us from r where rn = 1
+union all {_QUOTED_SQL}
+union all select p.player_id, p.candidate_id, a.id, a.url, a.title, a.published_at, a.source, a.category, 'attention', w.sentence, null, w.score, null from ({_ROWS}) w join art a using (id) join p on p.article_id = w.id
+union all select id, null, null, null, name, {S.instant_text('created_at')}, 'profile', category, 'site_article', null, null, null, epoch_us(created_at) from players"""
+
+
+@query(_FIVE_SQL)
+def timeline_five_branches(spark, d):
+    """The same with the clock that the store keeps, which SQL can tell."""
+    return _timeline_columns(_five_branches(spark, d, _published_articles(spark, d), _clock_text))
 
 
 @query("select id, name, case when length(s) >= 2 and not contains(s, ' ') then length(s) else case when contains(s, ' ') then 2 else 1 end end as variations, replace(s, ' ', '') as bare from (select id, name, " + S.strip(S.sub("name", S.SPACE + "+", " ")) + " as s from player_candidates where name is not null)")
@@ -669,7 +710,7 @@ def placeholder_titles(spark, d):
     return s.select("id", T.placeholder_title(kind, F.col("player_key"), F.lit(0), F.lit(0), F.col("title")).alias("placeholder"))
 
 
-@query()
+@query(f"select entry_id, coalesce(category, '') || '|' || {S.name_key('name')} || '|' || {S.school_match_key('school')} as key from roster_entries")
 def entry_keys(spark, d):
     return table(spark, d, "roster_entries").select("entry_id", T.entry_key(F.col("category"), F.col("name"), F.col("school")).alias("key"))
 
