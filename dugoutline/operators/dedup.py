@@ -97,11 +97,6 @@ def similar_pairs(later: DataFrame, earlier: DataFrame, t: float) -> DataFrame:
     common = F.least(shared(F.col("a_bag"), F.col("b_bag")), shared(F.col("b_bag"), F.col("a_bag")))
     near = met.join(bag("a"), "a_seq").join(bag("b"), "b_seq").where(2 * common > t * (F.size("a_bag") + F.size("b_bag"))).select("a_seq", "b_seq")
     side = lambda rows, x: rows.select(*[F.col(c).alias(f"{x}_{c}") for c in ("seq", "title", "body")])
-    token = lambda rows, x: prefix.join(rows.select("seq"), "seq", "left_semi").select(F.col("seq").alias(f"{x}_seq"), "token")
-    met = token(later, "a").join(token(earlier, "b"), "token").where("a_seq > b_seq").select("a_seq", "b_seq").distinct()
-    bag = lambda x: bags.select(F.col("seq").alias(f"{x}_seq"), F.col("bag").alias(f"{x}_bag"))
-    common = F.size(F.array_intersect("a_bag", "b_bag"))
-    near = met.join(bag("a"), "a_seq").join(bag("b"), "b_seq").where(2 * common > t * (F.size("a_bag") + F.size("b_bag"))).select("a_seq", "b_seq")
     near = near.join(side(later, "a"), "a_seq").join(side(earlier, "b"), "b_seq")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -50,3 +50,9 @@ def day_signals(spark, d) -> DataFrame:
     """events as signals: (signal_id, topic_type, player_id, day, ts)."""
     e = table(spark, d, "events")
     return e.select(F.col("event_id").alias("signal_id"), F.col("event_type").alias("topic_type"), F.col("user_id").cast("string").alias("player"), F.to_date("ts").alias("day"), "ts")
+
+
+def staff(spark, d) -> tuple[str, ...]:
+    """Names of the scouts without spaces; the table is a short fixed list that doesn't grow."""
+    names = table(spark, d, "scouts").select(F.regexp_replace("scout_name", T.SPACE, "").alias("n")).where("n <> ''").distinct().orderBy("n")
+    return tuple(r["n"] for r in names.collect())

@@ -240,7 +240,7 @@ def keyword_gate_flags(spark, d):
 
 @query()
 def comment_gate(spark, d):
-    return signals.annotated(A.articles(spark, d)).select("id", "gate_scout_comment", "gate_attention", "gate_player_candidate", "gate_keywords")
+    return signals.annotated(A.articles(spark, d), A.staff(spark, d)).select("id", "gate_scout_comment", "gate_attention", "gate_player_candidate", "gate_keywords")
 
 
 _SENTENCES = f"""select id, title, cast(u.pos - 1 as int) as pos, {S.clean('u.s')} as sentence from (select id, title, unnest(list_transform(range(1, len(l) + 1), lambda i: {{'pos': i, 's': l[i]}})) as u from (select id, title, string_split_regex(coalesce(nullif(body, ''), title), '[。\\n]') as l from crawled_articles))"""
