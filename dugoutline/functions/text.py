@@ -213,6 +213,29 @@ def contains_any(text: Column, words: tuple[str, ...]) -> Column:
     return F.coalesce(hit, F.lit(False))
 
 
+def contains_any_case(text: Column, words: tuple[str, ...]) -> Column:
+    """Whether a text holds any of the words, in letters of either case; False for null."""
+    return contains_any(F.lower(text), tuple(w.lower() for w in words))
+
+
+def position_list(text: Column) -> Column:
+    """Positions of a text that names one or two: a pitcher with the other kind, else the first kind that it names, else
+    the text; null for blank."""
+    has = lambda p: text.contains(p)
+    out = F.when(strip(text) == "", F.lit(None))
+    for other in ("外野手", "内野手", "捕手"):
+        out = out.when(has("投手") & has(other), F.array(F.lit("投手"), F.lit(other)))
+    for one in ("捕手", "内野手", "外野手", "投手"):
+        out = out.when(has(one), F.array(F.lit(one)))
+    return out.when(text.isNotNull(), F.array(text))
+
+
+def inserted_values(table: str, columns: dict[str, Column]) -> Column:
+    """SQL text that inserts a row: texts quoted with their quotes doubled, nulls as NULL."""
+    value = lambda c: F.coalesce(F.concat(F.lit("'"), F.replace(c.cast("string"), F.lit("'"), F.lit("''")), F.lit("'")), F.lit("NULL"))
+    return F.concat(F.lit(f"INSERT INTO {table} ({', '.join(columns)}) VALUES ("), F.concat_ws(", ", *[value(c) for c in columns.values()]), F.lit(");"))
+
+
 def spaced_name(name: Column) -> Column:
     """Name with single half-width spaces; '' for null."""
     return F.coalesce(strip(F.regexp_replace(name, f"{SPACE}+", " ")), F.lit(""))

@@ -107,3 +107,32 @@ def backfilled(children: DataFrame, sources: DataFrame) -> DataFrame:
     best = sources.where("url is not null").groupBy("url").agg(F.min("candidate_id").alias("_c"))
     free = F.col("player_id").isNull() & F.col("player_candidate_id").isNull()
     return children.join(best, children["source_url"] == best["url"], "left").select(*[F.when(free, F.col("_c")).otherwise(F.col(c)).alias(c) if c == "player_candidate_id" else children[c] for c in children.columns])
+
+
+def name_lookup_anywhere(names: DataFrame, players: DataFrame) -> DataFrame:
+    """``name_lookup``, and for the names it doesn't find the least player whose name or reading holds the name.
+
+    What a player's name holds are its parts, so the search is a join on equal parts, in lower case.
+    """
+    found = name_lookup(names, players)
+    lower = lambda c: F.lower(F.col(c))
+    parts = lambda c: F.flatten(F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.transform(F.sequence(F.lit(1), F.length(c) - i + 1), lambda n: F.substring(c, i, n))))
+    said = players.select("id", F.explode(F.array(lower("name"), lower("name_kana"))).alias("said")).where("said <> ''")
+    held = said.select("id", F.explode(F.array_distinct(parts(F.col("said")))).alias("_part")).groupBy("_part").agg(F.min("id").alias("_id"))
+    bare = F.lower(F.regexp_replace("name", T.SPACE, ""))
+    asked = found.where("player_id is null").select("name", F.nullif(bare, F.lit("")).alias("_part")).join(held, "_part", "left")
+    return found.where("player_id is not null").unionByName(asked.select("name", F.col("_id").alias("player_id")))
+
+
+def insert_report(new: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+    """(told, repeated, stored, inserted): what becomes of rows inserted one by one under a unique key."""
+    key = [F.coalesce(F.col(k).cast("string"), F.lit("")).alias(f"_k{i}") for i, k in enumerate(keys)]
+    names = [f"_k{i}" for i in range(len(keys))]
+    counted = new.select(*key).groupBy(*names).agg(F.count("*").alias("n")).join(stored.select(*key).distinct().withColumn("_s", F.lit(1)), names, "left")
+    return counted.agg(F.sum("n").alias("told"), F.sum(F.col("n") - 1).alias("repeated"), F.count("_s").alias("stored"), F.count_if(F.col("_s").isNull()).alias("inserted"))
+
+
+def since_mark(rows: DataFrame, marks: DataFrame, at: str, now: str, hours: int = 30) -> DataFrame:
+    """Rows made after the last mark; where there is no mark, in the last ``hours`` before ``now``."""
+    mark = marks.agg(F.coalesce(F.max(at), F.lit(now).cast("timestamp") - F.expr(f"interval {hours} hours")).alias("_mark"))
+    return rows.join(F.broadcast(mark), F.col(at) > F.col("_mark")).drop("_mark")

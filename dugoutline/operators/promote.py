@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from dugoutline.functions import text as T
 
-CATEGORY_CODES = {"高校": "hs", "大学": "univ", "社会人": "corporate", "独立リーグ": "independent"}
+# Categories with the codes that players have.
+CATEGORY_CODES = {"高校": "high_school", "大学": "university", "社会人": "company", "独立リーグ": "independent", "独立": "independent"}
 SEASONS = ("spring", "summer", "fall")
 
 
@@ -57,3 +58,39 @@ def stepped(current: DataFrame, wanted: DataFrame, steps: dict[str, tuple[str, .
     move = F.concat("status", F.lit(">"), "_w")
     ok = F.coalesce(move.isin(*allowed), F.lit(False))
     return both.select("id", F.when(ok, F.col("_w")).otherwise(F.col("status")).alias("status"), ok.alias("accepted"))
+
+
+PAYLOAD = "struct<player: map<string, string>, stats: array<map<string, string>>, achievements: array<map<string, string>>>"
+# Fields of a season line and of an honour that are stored.
+STATS_FIELDS = (
+    "year", "season", "tournament", "games", "innings", "era", "strikeouts", "strikeouts_per_9", "whip", "hits_allowed", "batting_avg_against", "earned_runs", "walks", "hit_by_pitch",
+    "walks_plus_hit_by_pitch", "at_bats", "hits", "doubles", "triples", "home_runs", "rbis", "steals", "sacrifice_flies", "batter_strikeouts", "avg", "obp", "slg", "ops",
+)
+ACHIEVEMENT_FIELDS = ("type", "year", "tournament_name", "result")
+
+
+def committed(payloads: DataFrame, known: DataFrame) -> dict[str, DataFrame]:
+    """What committing researched candidates writes: ``players``, ``stats``, ``achievements`` and ``links``.
+
+    ``payloads``: candidate_id, status, player_id, payload (JSON). Candidates that are promoted or have a player, and those
+    whose payload is no JSON or has no player, are left out. One with the name key of a ``known`` player (player_id,
+    name, draft_year), whose year is equal or unknown on a side, is only linked to the least of them; a new player
+    has the candidate's id.
+    """
+    ready = payloads.where("player_id is null and status <> 'promoted'").select("candidate_id", F.from_json("payload", PAYLOAD).alias("_p")).where("size(_p.player) > 0")
+    own = ready.select("candidate_id", "_p", T.name_key(F.col("_p.player")["name"]).alias("_k"), F.col("_p.player")["draft_year"].try_cast("int").alias("_y"))
+    there = known.select(F.col("player_id").alias("_pid"), T.name_key(F.col("name")).alias("_pk"), F.col("draft_year").alias("_py")).where("_pk <> ''")
+    met = own.join(there, (F.col("_k") == F.col("_pk")) & (F.col("_y").isNull() | F.col("_py").isNull() | (F.col("_y") == F.col("_py"))))
+    linked = met.groupBy("candidate_id").agg(F.min("_pid").alias("player_id"))
+    fresh = own.join(linked.select("candidate_id"), "candidate_id", "left_anti")
+    entries = lambda c: F.array_sort(F.map_entries(F.map_filter(c, lambda k, v: v.isNotNull())))
+
+    def lines(part: str, fields: tuple[str, ...], keep=None) -> DataFrame:
+        rows = fresh.select(F.col("candidate_id").alias("player_id"), F.col("_p.player")["category"].alias("_c"), F.posexplode(f"_p.{part}").alias("pos", "_m"))
+        rows = rows if keep is None else rows.where(keep)
+        return rows.select("player_id", "pos", "_c", F.inline(entries(F.map_filter("_m", lambda k, v: k.isin(*fields)))).alias("name", "value"))
+
+    stats = lines("stats", STATS_FIELDS, F.col("_m")["season"].isin(*SEASONS)).withColumn("period", F.coalesce(T.looked_up(CATEGORY_CODES, F.col("_c")), F.col("_c"))).drop("_c")
+    players = fresh.select(F.col("candidate_id").alias("player_id"), F.col("_p.player")["name"].alias("name"), F.col("_y").alias("draft_year"), F.lit(0).alias("rank_code"))
+    links = linked.unionByName(fresh.select("candidate_id", F.col("candidate_id").alias("player_id")))
+    return {"players": players, "stats": stats, "achievements": lines("achievements", ACHIEVEMENT_FIELDS).drop("_c"), "links": links}

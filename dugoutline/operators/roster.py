@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dugoutline.functions import text as T
 from dugoutline.functions import values as V
+from dugoutline.functions.dates import received_date
 
 
 def forward_filled(entries: DataFrame, field: str, table: str = "table_id", order: str = "pos", runs: int = 1000) -> DataFrame:
@@ -43,3 +45,22 @@ def markdown_table(rows: DataFrame, header: list[str], columns: list[str], order
     head = f"| {' | '.join(header)} |\n|{'---|' * len(header)}\n"
     lines = F.array_sort(F.collect_list(F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], line.alias("line"))))
     return rows.groupBy(by).agg(F.concat(F.lit(head), F.array_join(F.transform(lines, lambda x: x["line"]), "\n")).alias("markdown"))
+
+
+def checklist(records: DataFrame, previous: DataFrame, by: str) -> DataFrame:
+    """(by, markdown, ticked): a checklist of each group's records (by, key, label, fresh) in the order of their labels.
+
+    A line is ticked if its key is ticked in any of the ``previous`` checklists (markdown); new records are marked. A group
+    is written into one text, so it should be one that people read.
+    """
+    ticks = previous.select(F.explode(T.checked_keys(F.col("markdown"))).alias("key")).distinct().withColumn("_t", F.lit(True))
+    known = records.join(ticks, "key", "left").withColumn("_t", F.coalesce("_t", F.lit(False)))
+    line = F.concat(F.lit("- ["), F.when(F.col("_t"), "x").otherwise(" "), F.lit("] "), F.when(F.col("fresh"), "🆕 ").otherwise(""), F.col("label"), F.lit(" <!--k:"), F.col("key"), F.lit("-->"))
+    lines = F.array_sort(F.collect_list(F.struct("label", "key", line.alias("line"))))
+    return known.groupBy(by).agg(F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("markdown"), F.count_if("_t").alias("ticked"))
+
+
+def newest_first(received: Column) -> list[Column]:
+    """Order of a roster: the latest month and day first, those without a date last."""
+    r = received_date(received)
+    return [-r["month"], -r["day"]]

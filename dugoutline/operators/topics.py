@@ -6,7 +6,7 @@ from collections import defaultdict, deque
 from datetime import date
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dugoutline.functions import text as T
@@ -43,6 +43,40 @@ def near_topics(signals: DataFrame, topics: DataFrame, days: int = NEAR_DAYS) ->
     return met.groupBy("signal_id").agg(F.max_by("topic_id", F.struct("created_at", "topic_id")).alias("topic_id"))
 
 
+def nearest_topics(signals: DataFrame, topics: DataFrame, days: int = NEAR_DAYS, newest: int = NEWEST) -> DataFrame:
+    """(signal_id, topic_id): of the ``newest`` open topics of the signal's type and player the newest with an event within
+    ``days``; of a signal without a day the newest.
+
+    ``signals``: signal_id, topic_type, player, day; ``topics``: topic_id, topic_type, player, status, created_at, event_days.
+    """
+    rank = F.row_number().over(Window.partitionBy("topic_type", "player").orderBy(F.desc("created_at"), F.desc("topic_id")))
+    open_ = topics.where("status in ('draft', 'reviewed') and player is not null").withColumn("_rank", rank).where(F.col("_rank") <= newest)
+    met = signals.join(open_, ["topic_type", "player"]).where(F.col("day").isNull() | F.exists("event_days", lambda e: F.abs(F.datediff(F.col("day"), e)) <= days))
+    return met.groupBy("signal_id").agg(F.min_by("topic_id", "_rank").alias("topic_id"))
+
+
+def summarised(members: DataFrame, visits: DataFrame) -> DataFrame:
+    """One row per topic of its signals (topic, url, title, source, day, evidence, team_count, person_count, team_keys, has_mlb,
+    score, meeting, seq) and visits (topic, team): largest counts, clubs of both, events once by day and text,
+    sources with the title first seen, importance.
+    """
+    first = F.min_by(F.struct("title", "source"), "seq")
+    sources = members.where("url is not null").groupBy("topic", "url").agg(first.alias("_m")).select("topic", F.struct("url", "_m.title", "_m.source").alias("_s")).groupBy("topic").agg(F.array_sort(F.collect_list("_s")).alias("sources"))
+    told = members.where("evidence <> ''").select("topic", F.struct(F.coalesce(F.col("day").cast("string"), F.lit("")).alias("date"), F.col("evidence").alias("summary")).alias("_e")).distinct().groupBy("topic").agg(F.array_sort(F.collect_list("_e")).alias("events"))
+    clubs = members.select("topic", F.explode("team_keys").alias("k")).unionByName(visits.where("team <> ''").select("topic", F.col("team").alias("k"))).groupBy("topic").agg(F.array_sort(F.collect_set("k")).alias("teams"))
+    base = members.groupBy("topic").agg(F.max("team_count").alias("team_count"), F.max("person_count").alias("person_count"), F.bool_or("has_mlb").alias("has_mlb"), F.max("score").alias("_score"), F.bool_or("meeting").alias("_meeting"))
+    every = base.join(sources, "topic", "left").join(told, "topic", "left").join(clubs, "topic", "left")
+    return every.withColumn("importance", importance(F.col("_score"), F.greatest(F.size("sources"), F.lit(0)), F.col("_meeting"))).drop("_score", "_meeting")
+
+
+def merged_urls(topics: DataFrame, new: DataFrame) -> DataFrame:
+    """Topics (topic, urls) with the urls of new signals (topic, url, seq) behind theirs, each once; a url that is there
+    changes nothing, so a batch that is run again does not either."""
+    more = new.where("url is not null").groupBy("topic", "url").agg(F.min("seq").alias("seq")).groupBy("topic").agg(F.array_sort(F.collect_list(F.struct("seq", "url"))).alias("_new"))
+    none = F.array().cast("array<string>")
+    return topics.join(more, "topic", "full_outer").select("topic", F.array_distinct(F.concat(F.coalesce("urls", none), F.coalesce(F.transform("_new", lambda x: x["url"]), none))).alias("urls"))
+
+
 def importance(score: Column, sources: Column, meeting: Column) -> Column:
     return score + F.greatest(F.lit(0), F.least(sources - 1, F.lit(3))) + F.when(meeting, 2).otherwise(0)
 

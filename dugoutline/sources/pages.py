@@ -9,6 +9,7 @@ import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from urllib.parse import urljoin
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -126,6 +127,27 @@ def page_links(pages: DataFrame, base: str, prefix: str = "", contains: str = ""
     return pages.select("url", "html").mapInPandas(run, "url string, link string, pos int")
 
 
+def feed_items(feeds: DataFrame, most: int | None = None, exclude: str | None = None) -> DataFrame:
+    """(url, pos, link, title, date): items of RSS and Atom feeds (url, xml) in their order, the first ``most`` of each
+    feed, without those whose link holds ``exclude``. A feed that is no XML has none."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for url, xml in zip(b["url"], b["xml"], strict=True):
+                try:
+                    items = [x for x in ElementTree.fromstring(xml or "").iter() if x.tag.rsplit("}")[-1] in ("item", "entry")]
+                except ElementTree.ParseError:
+                    continue
+                for pos, item in enumerate(items[:most]):
+                    own = {c.tag.rsplit("}")[-1]: (c.text or c.get("href") or "").strip() for c in item}
+                    if own.get("link") and not (exclude and exclude in own["link"]):
+                        out.append((url, pos, own["link"], own.get("title", ""), own.get("pubDate") or own.get("published") or own.get("date")))
+            yield pd.DataFrame(out, columns=["url", "pos", "link", "title", "date"])
+
+    return feeds.select("url", "xml").mapInPandas(run, "url string, pos int, link string, title string, date string")
+
+
 def roster_rows(pages: DataFrame, required: tuple[str, ...] = ("氏名", "学校")) -> DataFrame:
     """(url, table_id, section, pos, cells): data rows of the tables whose header has all required words; rows of
     headings only are skipped."""
