@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dugoutline.session import checkpointed
+
 GRAM = 6
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 21
@@ -55,9 +57,13 @@ def gram_hashes(a: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Inverted index of test items: BM25 weights per term and item, and their maxima per block of items."""
+    """Inverted index of test items: BM25 weights per term and item, and their maxima per block of items.
+
+    ``every`` tells of all items, where these are some of them: their number, their mean number of terms, and in how many
+    of them each term of these is; so weights don't depend on how the items are cut into blocks.
+    """
 
-    def __init__(self, items: list[tuple[int, str]], share: float, k1: float = 1.2, b: float = 0.75, block: int = 32):
+    def __init__(self, items: list[tuple[int, str]], share: float, every: tuple[int, float, dict[int, int]] | None = None, k1: float = 1.2, b: float = 0.75, block: int = 32):
         self.ids = [i for i, _ in items]
         self.share, self.block = share, block
         sentences, hashes, owners, places = [], [], [], []
@@ -84,9 +90,10 @@ class Index:
         pairs, tf = np.unique(term * max(1, len(items)) + owner, return_counts=True)
         t, i = pairs // max(1, len(items)), pairs % max(1, len(items))
         length = np.bincount(owner, minlength=len(items)).astype(float)
-        df = np.bincount(t, minlength=len(self.terms))
-        idf = np.log1p((len(items) - df + 0.5) / (df + 0.5))
-        w = idf[t] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length[i] / max(1.0, length.mean() if len(length) else 1.0)))
+        number, mean = (len(items), length.mean() if len(length) else 1.0) if every is None else every[:2]
+        df = np.bincount(t, minlength=len(self.terms)) if every is None else np.array([every[2][x] for x in self.terms.astype(np.int64).tolist()], dtype=np.int64)
+        idf = np.log1p((number - df + 0.5) / (df + 0.5))
+        w = idf[t] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length[i] / max(1.0, mean)))
         self.post_at, self.post_item, self.post_w = np.append(np.searchsorted(t, np.arange(len(self.terms))), len(t)), i, w
         blocks, first = np.unique(t * (len(items) // block + 1) + i // block, return_index=True)
         self.block_at = np.append(np.searchsorted(blocks // (len(items) // block + 1), np.arange(len(self.terms))), len(blocks))
@@ -220,6 +227,19 @@ def search(index: Index, ids: list, texts: list[str | None], coverage: float, pa
     return found
 
 
+def item_terms(items: DataFrame) -> DataFrame:
+    """(item_id, passage, term, tf): terms of each item and passage (as a digest)."""
+    kind = dict(items.dtypes)["item_id"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for i, digest, text in zip(b["item_id"], b["digest"], b["passage"], strict=True):
+                term, tf = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *map(gram_hashes, Index._units(text))]), return_counts=True)
+                yield pd.DataFrame({"item_id": i, "passage": digest, "term": term.astype(np.int64), "tf": tf})
+
+    return items.select("item_id", F.xxhash64("passage").alias("digest"), "passage").mapInPandas(run, f"item_id {kind}, passage bigint, term bigint, tf bigint")
+
+
 def leaked_items(documents: DataFrame, items: DataFrame, coverage: float = 0.42, share: float = 0.45, passage: int = 1024, block_chars: int = 1_000_000) -> DataFrame:
     """(doc_id, item_id, coverage): documents that carry about half or more of an item.
 
@@ -235,9 +255,19 @@ def leaked_items(documents: DataFrame, items: DataFrame, coverage: float = 0.42,
     texts = documents.select("doc_id", "text").where("text is not null and length(text) >= 6")
     kinds = dict(documents.dtypes)["doc_id"], dict(items.dtypes)["item_id"]
     found = spark.createDataFrame([], f"doc_id {kinds[0]}, item_id {kinds[1]}, coverage double")
+    in_block = lambda df, k: df.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
+    terms = checkpointed(item_terms(items)) if blocks > 1 else None
+    if terms is not None:
+        counted = checkpointed(terms.groupBy("term").agg(F.countDistinct("item_id", "passage").cast("int").alias("df")))
+        number, size = items.agg(F.count("*")).first()[0], terms.agg(F.sum("tf")).first()[0] or 0
     for k in range(blocks):
-        own = [(r[0], r[1]) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).orderBy("item_id").collect()]
-        shared = spark.sparkContext.broadcast(Index(own, share))
+        own = [(r[0], r[1]) for r in in_block(items, k).orderBy("item_id").collect()]
+        every = None
+        if terms is not None:
+            # as many as a block has terms
+            here = counted.join(in_block(terms, k).select("term").distinct(), "term").toPandas()
+            every = number, size / max(1, number), dict(zip(here["term"].tolist(), here["df"].tolist(), strict=True))
+        shared = spark.sparkContext.broadcast(Index(own, share, every))
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             index = shared.value

@@ -25,3 +25,18 @@ def test_leaks(spark):
     assert {(x.doc_id, x.item_id) for x in L.leaked_items(documents, evals, block_chars=3000).collect()} == want
     assert L.leaked_items(documents.limit(0), evals).count() == 0
     assert L.leaked_items(documents, evals.limit(0)).count() == 0
+
+
+def test_weights_do_not_depend_on_blocks(spark):
+    r = random.Random(4)
+    items = [(i, "。".join(sentence(r) if r.random() < 0.6 else "同じ一文がどの項目にも入っている長めの例文である" for _ in range(4))) for i in range(12)]
+    terms = L.item_terms(spark.createDataFrame(items, "item_id int, passage string")).toPandas()
+    df = terms.groupby("term").item_id.nunique()
+    whole = L.Index(items, 0.45)
+    weight = {(int(whole.terms[t]), whole.ids[whole.post_item[j]]): whole.post_w[j] for t in range(len(whole.terms)) for j in range(whole.post_at[t], whole.post_at[t + 1])}
+    every = len(items), terms.tf.sum() / len(items), df.to_dict()
+    for part in (items[:5], items[5:]):
+        own = L.Index(part, 0.45, every)
+        for t in range(len(own.terms)):
+            for j in range(own.post_at[t], own.post_at[t + 1]):
+                assert abs(own.post_w[j] - weight[int(own.terms[t]), own.ids[own.post_item[j]]]) < 1e-9
