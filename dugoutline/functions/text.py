@@ -64,11 +64,12 @@ def school_form(text: Column, aliases: dict[str, str] | None = None) -> Column:
     bare = F.regexp_replace(text, SPACE, "")
     short = F.regexp_replace(F.regexp_replace(F.regexp_replace(bare, "大學$", "大"), "大学$", "大"), "(?:高等学校|高校)$", "高")
     known = V.SCHOOL_ALIASES if aliases is None else aliases
-    return F.nullif(F.lower(F.coalesce(looked_up(known, short), short)), F.lit(""))
+    return F.nullif(F.lower(F.coalesce(looked_up({k: "".join(V.VARIANTS.get(c, c) for c in v) for k, v in known.items()}, short), short)), F.lit(""))
 
 
 def school_key(team: Column, aliases: dict[str, str] | None = None) -> Column:
-    """School without white space, its kind shortened, aliases resolved to the name as the table has it."""
+    """School without white space, its kind shortened, aliases resolved; alias targets are folded too, so that they equal the
+    full name's key."""
     return school_form(current_characters(team), aliases)
 
 

@@ -119,7 +119,8 @@ def kana_key(x: str) -> str:
 def school_key(x: str) -> str:
     bare = sub(translated(nfkc(x), V.VARIANTS), SPACE, "")
     short = sub(sub(bare, "(?:大學|大学)$", "大"), "(?:高等学校|高校)$", "高")
-    return f"(select nullif(lower({case('s', V.SCHOOL_ALIASES, 's')}), '') from (select {short} as s))"
+    known = {k: "".join(V.VARIANTS.get(c, c) for c in v) for k, v in V.SCHOOL_ALIASES.items()}
+    return f"(select nullif(lower({case('s', known, 's')}), '') from (select {short} as s))"
 
 
 def school_match_key(x: str) -> str:
