@@ -74,9 +74,10 @@ def _quoted(spark, d, art, clock) -> DataFrame:
 
 def _published_articles(spark, d) -> DataFrame:
     """Articles with the time of publication as the store keeps it: the clock of the page, null where it is no date."""
-    p = F.col("published_at")
-    kept = F.when(F.try_to_timestamp(D.wall_clock(p)).isNotNull(), D.timestamp_text(p))
-    return A.articles(spark, d).select(F.col("id").alias("article_id"), "url", "title", "source", "category", kept.alias("published_at"))
+    # the clock is a column of its own, so that it is read once
+    read = A.articles(spark, d).withColumn("_clock", D.wall_clock(F.col("published_at")))
+    kept = F.when(F.try_to_timestamp("_clock").isNotNull(), F.concat(F.replace("_clock", F.lit(" "), F.lit("T")), F.lit("+09:00")))
+    return read.select(F.col("id").alias("article_id"), "url", "title", "source", "category", kept.alias("published_at"))
 
 
 def _clock_text(ts):
