@@ -6,17 +6,20 @@ row of a group is wanted, so hot keys aren't gathered in one task.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dugoutline.functions import text as T
 from dugoutline.operators.graph import components
-from dugoutline.session import checkpointed, shuffled
+from dugoutline.session import checkpointed
 
 
 def first_by(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
@@ -53,58 +56,200 @@ def bag_ratio(a: str | None, b: str | None) -> float:
     return 2 * sum((x & y).values()) / n if n else 1.0
 
 
-def _numbered(df: DataFrame, items: Column, kind: str) -> DataFrame:
-    """(seq, size, token): the items of a title numbered by occurrence, so that equal bags are equal sets."""
-    counted = df.select("seq", "size", F.explode(items).alias("c")).groupBy("seq", "size", "c").agg(F.count("*").alias("n"))
-    return counted.select("seq", "size", F.explode(F.transform(F.sequence(F.lit(1), F.col("n").cast("int")), lambda i: F.concat(F.lit(kind), F.col("c"), F.lit("\u0001"), i.cast("string")))).alias("token"))
+#: Rows in a block of articles at most, steps of a body's length (a power of 1 + 1 / STEPS), and bytes of a body's counts.
+BLOCK, STEPS, COUNTS, RARE = 40_000, 16, 1024, 128
+_PRIMES = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-def _title_prefixes(titles: DataFrame, t: float) -> DataFrame:
-    """(seq, token): the rarest tokens of each title, of which two titles with a ratio above ``t`` share one.
+def _grams(points: np.ndarray, q: int) -> np.ndarray:
+    """Hashes of the runs of ``q`` letters, of 32 bits."""
+    h = np.zeros(max(0, len(points) - q + 1), dtype=np.uint64)
+    for i in range(q):
+        h *= _PRIMES[0]
+        h += points[i : i + len(h)]
+    h ^= h >> np.uint64(29)
+    h *= _PRIMES[1]
+    return h >> np.uint64(32)
 
-    The ratio's blocks hold M of the n letters' halves and leave U of them out, with at most U + 1 blocks, so at least
-    M - U - 1 > n * (1.5 t - 1) - 1 pairs of neighbours are common to both. Titles too short for that to be one share
-    letters, of which a title of length a has more than a * t / (2 - t) in common.
-    """
-    title, size = F.col("title"), F.col("size")
-    df = titles.select("seq", F.coalesce("title", F.lit("")).alias("title")).withColumn("size", F.length("title"))
-    gain = 1.5 * t - 1
-    short = 1 / gain if gain > 0 else 1e9
-    letters = _numbered(df.where(size <= short * (2 - t) / t), F.when(size > 0, F.split(title, "")).otherwise(F.array(F.lit(""))), "1")
-    pairs = _numbered(df.where(size > short), F.transform(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), lambda i: F.substring(title, i, F.lit(2))), "2")
-    needed = F.greatest(F.lit(1), F.floor(2 * size / (2 - t) * gain - 1)) if gain > 0 else F.lit(1)
-    kept = lambda rows, most: rows.join(rows.groupBy("token").agg(F.count("*").alias("df")), "token").withColumn("rank", F.row_number().over(Window.partitionBy("seq").orderBy("df", "token"))).where(F.col("rank") <= most).select("seq", "token")
-    return kept(letters, F.greatest(F.lit(1), size - F.floor(size * t / (2 - t)))).unionByName(kept(pairs, F.greatest(F.lit(1), size - needed)))
 
+def _counted(h: np.ndarray, size: int) -> np.ndarray:
+    return np.minimum(np.bincount(h.astype(np.int64) % size, minlength=size), 255).astype(np.uint8)
 
-def similar_pairs(later: DataFrame, earlier: DataFrame, t: float) -> DataFrame:
-    """(seq_a, seq_b) of a later and an earlier article whose titles and bodies both have a ratio above ``t``.
 
-    No pair is lost: titles meet on the rarest of their pairs of letters (``_title_prefixes``), those whose lengths, and
-    whose bodies' lengths, can't reach ``t`` are left out as they meet, then those whose bags of letters can't, and
-    the rest are held against the exact ratio.
+def article_features(title: str, body: str) -> tuple[int, int, int, bytes, bytes]:
+    """Lengths of the title and the body, the kind of the body (1: mostly ASCII, 0: not, 2: without counts), the title's
+    bits and the body's counts.
+
+    A title sets one of 256 bits for each of its letters numbered by occurrence. The counts of a body are those of its
+    letters, kana by themselves and others by hash; of a body mostly in ASCII those of its runs of three, then those
+    of the letters that ``SequenceMatcher`` begins a block at, then those of all letters.
     """
-    sizes = lambda rows: rows.select("seq", F.length(F.coalesce("title", F.lit(""))).alias("lt"), F.length(F.coalesce("body", F.lit(""))).alias("lb"))
-    both = later.select("seq", "title").unionByName(earlier.select("seq", "title")).distinct()
-    prefix = checkpointed(_title_prefixes(both, t))
-    bags = both.select("seq", F.split(F.coalesce("title", F.lit("")), "").alias("bag"))
-    token = lambda rows, x: prefix.join(sizes(rows), "seq").select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("seq", "lt", "lb")])
-    fits = lambda c: (F.least(f"a_{c}", f"b_{c}") * 2 > (F.col(f"a_{c}") + F.col(f"b_{c}")) * t) | (F.col(f"a_{c}") + F.col(f"b_{c}") == 0)
-    met = shuffled(token(later, "a")).join(shuffled(token(earlier, "b")), "token").where((F.col("a_seq") > F.col("b_seq")) & fits("lt") & fits("lb")).select("a_seq", "b_seq").distinct()
-    bag = lambda x: bags.select(F.col("seq").alias(f"{x}_seq"), F.col("bag").alias(f"{x}_bag"))
-    # letters of each that the other has at all: no fewer than the common ones of the bags
-    shared = lambda x, y: F.size(F.filter(x, lambda c: F.array_contains(y, c)))
-    common = F.least(shared(F.col("a_bag"), F.col("b_bag")), shared(F.col("b_bag"), F.col("a_bag")))
-    near = met.join(bag("a"), "a_seq").join(bag("b"), "b_seq").where(2 * common > t * (F.size("a_bag") + F.size("b_bag"))).select("a_seq", "b_seq")
-    side = lambda rows, x: rows.select(*[F.col(c).alias(f"{x}_{c}") for c in ("seq", "title", "body")])
-    near = near.join(side(later, "a"), "a_seq").join(side(earlier, "b"), "b_seq")
+    points = [np.frombuffer(x.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64) for x in (title, body)]
+    letters = np.sort(points[0])
+    nth = np.arange(len(letters)) - np.searchsorted(letters, letters)
+    bits = np.zeros(256, dtype=np.uint8)
+    bits[((_grams(letters, 1) + nth.astype(np.uint64) * _PRIMES[2]) * _PRIMES[1] >> np.uint64(56)).astype(np.int64)] = 1
+    own, single = points[1], _grams(points[1], 1)
+    if 2 * np.count_nonzero(own < 128) > len(own):
+        kinds, at, n = np.unique(own, return_inverse=True, return_counts=True)
+        rare = single[n[at] <= len(own) // 100 + 1] if len(own) >= 200 else single
+        begins, kind = _counted(rare, RARE), 1
+        counts = np.concatenate([_counted(_grams(own, 3), COUNTS), begins, _counted(single, RARE)])
+        kind = 1 if begins.max() < 255 else 2  # counts cut off there would say less than there are
+    else:
+        kana = (own >= 0x3040) & (own < 0x3100)
+        counts, kind = _counted(np.where(kana, own - np.uint64(0x3040), single % np.uint64(COUNTS - 192) + np.uint64(192)), COUNTS), 0
+    return len(title), len(body), kind, np.packbits(bits).tobytes(), zlib.compress(counts.tobytes(), 1)
+
+
+def _featured(df: DataFrame) -> DataFrame:
+    """(seq, lt, lb, kind, bits, counts) of articles (seq, title, body); null counts as ''."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
-            keep = [bag_ratio(p, q) > t and bag_ratio(r, s) > t and ratio(p, q) > t and ratio(r, s) > t for p, q, r, s in zip(x["a_title"], x["b_title"], x["a_body"], x["b_body"], strict=True)]
-            yield x.loc[keep, ["a_seq", "b_seq"]].rename(columns={"a_seq": "seq_a", "b_seq": "seq_b"})
+            got = [article_features(a or "", b or "") for a, b in zip(x["title"], x["body"], strict=True)]
+            yield pd.DataFrame(got, columns=["lt", "lb", "kind", "bits", "counts"]).assign(seq=x["seq"].to_numpy())
+
+    return df.select("seq", "title", "body").mapInPandas(run, "lt int, lb int, kind int, bits binary, counts binary, seq bigint")
+
+
+def _blocks(df: DataFrame) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """``df`` (seq, lb) with ``block``, and the lengths of the bodies in each block as a range. A block has bodies of
+    similar lengths, BLOCK of them at most; equal lengths are spread over blocks if they are more."""
+    step = F.floor(F.log(F.col("lb") + 1) / F.log(F.lit(1 + 1 / STEPS)))
+    stepped = df.withColumn("_step", step)
+    sizes = sorted((r["_step"], r["n"], r["lo"], r["hi"]) for r in stepped.groupBy("_step").agg(F.count("*").alias("n"), F.min("lb").alias("lo"), F.max("lb").alias("hi")).collect())
+    most = min(BLOCK, max(1_000, sum(n for _, n, _, _ in sizes) // 6))
+    ranges, plan, held = [], [], most
+    for at, n, lo, hi in sizes:
+        parts = -(-n // most)
+        if parts > 1 or held + n > most:
+            ranges += [(lo, hi)] * parts
+            held = n if parts == 1 else most
+        else:
+            ranges[-1] = (ranges[-1][0], hi)
+            held += n
+        plan.append((at, len(ranges) - parts, parts))
+    places = df.sparkSession.createDataFrame(plan, "_step bigint, _first int, _parts int")
+    block = (F.col("_first") + F.pmod(F.xxhash64("seq"), F.col("_parts"))).cast("int")
+    return stepped.join(F.broadcast(places), "_step").withColumn("block", block).drop("_step", "_first", "_parts"), ranges
+
+
+def _met(a: pd.DataFrame, b: pd.DataFrame, t: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places in ``a`` and ``b`` (features) of the later and the earlier articles that can be similar."""
+    b = b.sort_values("lb")
+    shape = lambda x: (x["seq"].to_numpy(), x["lt"].to_numpy(), x["lb"].to_numpy(), x["kind"].to_numpy(), np.frombuffer(b"".join(x["bits"]), dtype=np.uint64).reshape(len(x), 4))
+    (sa, ta, la, ka, wa), (sb, tb, lb, kb, wb) = shape(a), shape(b)
+    fa, fb = np.bitwise_xor.reduce(wa, axis=1), np.bitwise_xor.reduce(wb, axis=1)
+
+    def counts(x: pd.DataFrame) -> np.ndarray:
+        got = np.zeros((len(x), COUNTS + 2 * RARE), dtype=np.uint8)
+        for i, c in enumerate(x["counts"]):
+            c = zlib.decompress(c)
+            got[i, : len(c)] = np.frombuffer(c, dtype=np.uint8)
+        return got
+
+    ca, cb = counts(a), counts(b)
+    low = np.searchsorted(lb, la * (t / (2 - t)) - 1e-6, "left")
+    high = np.searchsorted(lb, la * ((2 - t) / t) + 1e-6, "right")
+    apart, slack = (1 - t) * tb, 1e-6
+    for i in range(len(a)):
+        own = slice(low[i], high[i])
+        at = np.flatnonzero(np.bitwise_count(fb[own] ^ fa[i]) < apart[own] + ((1 - t) * ta[i] + slack)) + low[i]
+        at = at[sb[at] < sa[i]]
+        at = at[np.bitwise_count(wb[at] ^ wa[i]).sum(axis=1) < (1 - t) * (tb[at] + ta[i]) + slack]
+        for k in range(0, len(at), 4096):
+            part = at[k : k + 4096]
+            limit = (1 - t) * (lb[part] + la[i]) + slack
+            if ka[i] == 1:
+                begun = np.minimum(cb[part, COUNTS : COUNTS + RARE], ca[i, COUNTS + RARE :]).sum(axis=1, dtype=np.int64)
+                limit = limit + 4 * (np.minimum(begun, limit) + 1)
+            x, y = cb[part, :COUNTS], ca[i, :COUNTS]
+            differ = (np.maximum(x, y) - np.minimum(x, y)).sum(axis=1, dtype=np.int64)
+            keep = part[(differ < limit) | (kb[part] != ka[i]) | (kb[part] == 2)]
+            if len(keep):
+                yield np.full(len(keep), i), b.index.to_numpy()[keep]
+
+
+def bags_reach(texts: list[str], i: np.ndarray, j: np.ndarray, t: float) -> np.ndarray:
+    """Whether ``bag_ratio`` of the texts at ``i`` and ``j`` is over ``t``; pairs of one ``i`` are best side by side."""
+    bag, dense, reach = {}, np.zeros(0x110000, dtype=np.int32), np.zeros(len(i), dtype=bool)
+
+    def of(k: int) -> tuple[np.ndarray, np.ndarray]:
+        if k not in bag:
+            kinds, n = np.unique(np.frombuffer(texts[k].encode("utf-32-le", "surrogatepass"), dtype=np.uint32), return_counts=True)
+            bag[k] = kinds, n.astype(np.int32)
+        return bag[k]
+
+    starts = np.flatnonzero(np.diff(i, prepend=-1))
+    for lo, hi in zip(starts, [*starts[1:], len(i)][: len(starts)], strict=True):
+        kinds, n = of(i[lo])
+        dense[kinds] = n
+        for at in range(lo, hi, 1024):
+            others = j[at : min(hi, at + 1024)]
+            got = [of(k) for k in others]
+            common = np.minimum(dense[np.concatenate([c for c, _ in got])], np.concatenate([m for _, m in got]))
+            shared = np.bincount(np.repeat(np.arange(len(got)), [len(c) for c, _ in got]), common, len(got))
+            size = np.array([len(texts[k]) for k in others]) + len(texts[i[lo]])
+            reach[at : at + len(got)] = np.where(size > 0, 2 * shared / np.maximum(size, 1), 1.0) > t
+        dense[kinds] = 0
+    return reach
+
+
+@lru_cache(maxsize=1 << 16)
+def title_reaches(a: str, b: str, t: float) -> bool:
+    return ratio(a, b) > t
+
 
-    return near.select("a_seq", "b_seq", "a_title", "b_title", "a_body", "b_body").mapInPandas(run, "seq_a bigint, seq_b bigint")
+def similar_pairs(later: DataFrame, earlier: DataFrame, t: float) -> DataFrame:
+    """(seq_a, seq_b) of a later and an earlier article whose titles and bodies both have a ratio above ``t``.
+
+    No pair is lost: blocks of articles with bodies of similar lengths meet, and in arrays of their features those are
+    left out that can't reach ``t``; the rest are held against the exact ratio. With n letters in both texts, fewer
+    than (1 - t) n are in no common block, so counts of letters differ by less. Blocks are no more than those letters
+    and one, nor than the letters a block begins at (``SequenceMatcher`` passes over the frequent ones of the second
+    text) and the one at the start; each breaks two runs of three, so counts of these differ by less than
+    (1 - t) n and four times the blocks. A text's bits and counts are fixed in size, whatever falls together
+    there makes two texts more alike, never less.
+
+    The letters of the texts are in one place per pair of blocks, not once per pair.
+    """
+    same = later is earlier
+    of = [checkpointed(_featured(x)) for x in ([later] if same else [later, earlier])]
+    (a, in_a), (b, in_b) = (_blocks(x) for x in (of[0], of[-1]))
+    fits = lambda p, q: p[1] >= q[0] * (t / (2 - t)) - 1e-6 and p[0] <= q[1] * ((2 - t) / t) + 1e-6
+    cells = [(i, j) for i, p in enumerate(in_a) for j, q in enumerate(in_b) if (not same or i <= j) and fits(p, q)]
+    tasks = min(2_000, max(1, 2 * len(cells)))
+    cells = later.sparkSession.createDataFrame([(c, i, j) for c, (i, j) in enumerate(cells)], "cell int, i int, j int")
+    place = lambda rows, c: rows.join(F.broadcast(cells.select("cell", F.col(c).alias("block"))), "block").drop("block")
+    left, right = place(a, "i"), place(b, "j")
+    right = right.toDF(*[f"b_{c}" for c in right.columns])
+
+    def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        x, y = x.reset_index(drop=True), y.rename(columns=lambda c: c[2:]).reset_index(drop=True)
+        both = [(x, y)] if not same or x["seq"].isin(y["seq"]).all() else [(x, y), (y, x)]
+        got = [(p["seq"].to_numpy()[i], q["seq"].to_numpy()[j]) for p, q in both if len(p) and len(q) for i, j in _met(p, q, t)]
+        s, r = (np.concatenate([np.zeros(0, dtype=np.int64), *[g[k] for g in got]]) for k in (0, 1))
+        return pd.DataFrame({"cell": np.full(len(s), x["cell"].iloc[0] if len(x) else 0), "a": s, "b": r})
+
+    apart = lambda rows, c: rows.repartition(tasks, c).groupBy(c)  # noqa: E731  no two pairs of blocks in one task for being small
+    met = checkpointed(apart(left, "cell").cogroup(apart(right, "b_cell")).applyInPandas(meet, "cell int, a bigint, b bigint"))
+    side = lambda rows, c: rows.select("seq", "title", "body").join(met.select("cell", F.col(c).alias("seq")).distinct(), "seq")
+    texts = side(later, "a").unionByName(side(earlier, "b")) if not same else later.select("seq", "title", "body").join(met.select("cell", F.explode(F.array("a", "b")).alias("seq")).distinct(), "seq")
+
+    def hold(pairs: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        pairs = pairs.sort_values(["a", "b"])
+        seqs, first = np.unique(held["seq"].to_numpy(), return_index=True)
+        title, body = ([x or "" for x in held[c].iloc[first]] for c in ("title", "body"))
+        i, j = np.searchsorted(seqs, pairs["a"].to_numpy()), np.searchsorted(seqs, pairs["b"].to_numpy())
+        for text in (body, title):
+            keep = bags_reach(text, i, j, t)
+            i, j = i[keep], j[keep]
+        keep = np.array([title_reaches(title[x], title[y], t) and ratio(body[x], body[y]) > t for x, y in zip(i, j, strict=True)], dtype=bool)
+        return pd.DataFrame({"seq_a": seqs[i[keep]], "seq_b": seqs[j[keep]]})
+
+    texts = texts.withColumnRenamed("cell", "at")
+    return apart(met, "cell").cogroup(apart(texts, "at")).applyInPandas(hold, "seq_a bigint, seq_b bigint")
 
 
 def replay(rows: list[tuple[int, int]], similar: set[tuple[int, int]]) -> list[tuple[int, int]]:
