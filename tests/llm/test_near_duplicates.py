@@ -1,5 +1,7 @@
 import random
+import unicodedata
 
+import numpy as np
 from dugoutline.llm import near_duplicates as N
 
 
@@ -51,3 +53,18 @@ def test_replaced_and_inserted_blocks_are_found(spark):
         want.add((f"{k:02}a", f"{k:02}b"))
     got = {tuple(r) for r in N.near_duplicate_pairs(spark.createDataFrame(rows, "id string, body string")).collect()}
     assert got == want
+
+
+def test_shingles_are_counted_over_all_texts(spark):
+    bodies = [text(k, 4) for k in range(5)]
+    bodies += [bodies[0] + "追記", bodies[1][:70]]
+    df = spark.createDataFrame([(t,) for t in bodies], "text string").repartition(3)
+    want = np.zeros(1 << N.RARITY_BITS, dtype=np.int64)
+    for t in bodies:
+        for bucket in {int(h) >> (64 - N.RARITY_BITS) for h in N.shingles(N.letters(t), N.RUN)}:
+            want[bucket] += 1
+    assert (N.shingle_counts(df) == want).all() and set(want) >= {0, 1, 2}
+
+
+def test_letters_are_the_alphanumeric_ones():
+    assert N.letters("Ａ_b-9 ²ｱ゛ー。①٣́") == "".join(filter(str.isalnum, unicodedata.normalize("NFKC", "Ａ_b-9 ²ｱ゛ー。①٣́").lower()))
