@@ -55,3 +55,10 @@ def test_more_articles_than_a_block_holds(spark, monkeypatch):
     assert {tuple(x) for x in dedup.similar_pairs(df, df, 0.7).collect()} == want
     later, earlier = df.where("seq % 2 = 0"), df.where("seq % 2 = 1")
     assert {tuple(x) for x in dedup.similar_pairs(later, earlier, 0.7).collect()} == {(a, b) for a, b in want if a % 2 == 0 and b % 2 == 1}
+
+
+def test_texts_meet_once_per_pair_of_blocks(spark):
+    rows = [(i, "見出しはどれも同じ", "本文もどれも同じである。" * 9) for i in range(60)]
+    df = spark.createDataFrame(rows, "seq bigint, title string, body string")
+    plan = dedup.similar_pairs(df.where("seq >= 30"), df.where("seq < 30"), 0.8)
+    assert plan.count() == 900 and "text_a" not in (told := plan._jdf.queryExecution().optimizedPlan().toString()) and "a_body" not in told
