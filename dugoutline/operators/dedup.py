@@ -245,7 +245,16 @@ def similar_pairs(later: DataFrame, earlier: DataFrame, t: float) -> DataFrame:
         for text in (body, title):
             keep = bags_reach(text, i, j, t)
             i, j = i[keep], j[keep]
-        keep = np.array([title_reaches(title[x], title[y], t) and ratio(body[x], body[y]) > t for x, y in zip(i, j, strict=True)], dtype=bool)
+        order = np.argsort(j, kind="stable")
+        i, j, keep, last = i[order], j[order], np.zeros(len(i), dtype=bool), -1
+        matcher = SequenceMatcher(None)
+        for k, (x, y) in enumerate(zip(i, j, strict=True)):
+            if title_reaches(title[x], title[y], t):
+                if y != last:  # the second text is indexed once for all it is held against
+                    matcher.set_seq2(body[y])
+                    last = y
+                matcher.set_seq1(body[x])
+                keep[k] = matcher.ratio() > t
         return pd.DataFrame({"seq_a": seqs[i[keep]], "seq_b": seqs[j[keep]]})
 
     texts = texts.withColumnRenamed("cell", "at")
