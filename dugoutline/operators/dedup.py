@@ -10,7 +10,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
-from functools import lru_cache
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -56,8 +56,9 @@ def bag_ratio(a: str | None, b: str | None) -> float:
     return 2 * sum((x & y).values()) / n if n else 1.0
 
 
-#: Rows in a block of articles at most, steps of a body's length (a power of 1 + 1 / STEPS), and bytes of a body's counts.
-BLOCK, STEPS, COUNTS, RARE = 40_000, 16, 1024, 128
+#: Rows in a block of articles at most, steps of a body's length (a power of 1 + 1 / STEPS), and bytes of a body's counts:
+#: of runs of three or of letters, and of the letters beside the runs.
+BLOCK, STEPS, COUNTS, LETTERS, RARE = 60_000, 16, 1024, 384, 128
 _PRIMES = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -98,52 +99,78 @@ def article_features(title: str, body: str) -> tuple[int, int, int, bytes, bytes
         kind = 1 if begins.max() < 255 else 2  # counts cut off there would say less than there are
     else:
         kana = (own >= 0x3040) & (own < 0x3100)
-        counts, kind = _counted(np.where(kana, own - np.uint64(0x3040), single % np.uint64(COUNTS - 192) + np.uint64(192)), COUNTS), 0
+        counts, kind = _counted(np.where(kana, own - np.uint64(0x3040), single % np.uint64(LETTERS - 192) + np.uint64(192)), LETTERS), 0
     return len(title), len(body), kind, np.packbits(bits).tobytes(), zlib.compress(counts.tobytes(), 1)
 
 
-def _featured(df: DataFrame) -> DataFrame:
-    """(seq, lt, lb, kind, bits, counts) of articles (seq, title, body); null counts as ''."""
+def _featured(df: DataFrame, t: float) -> DataFrame:
+    """(id, lt, lb, kind, zone, bits, counts) of articles (id, title, body); null counts as ''.
+
+    Of a body mostly in ASCII ``counts`` is the text itself, title and body, which is smaller than its counts. ``zone`` is 2
+    where so many letters are ASCII that a body of zone 0 can't have enough letters in common with it, else 1.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
-            got = [article_features(a or "", b or "") for a, b in zip(x["title"], x["body"], strict=True)]
-            yield pd.DataFrame(got, columns=["lt", "lb", "kind", "bits", "counts"]).assign(seq=x["seq"].to_numpy())
-
-    return df.select("seq", "title", "body").mapInPandas(run, "lt int, lb int, kind int, bits binary, counts binary, seq bigint")
-
-
-def _blocks(df: DataFrame) -> tuple[DataFrame, list[tuple[int, int]]]:
-    """``df`` (seq, lb) with ``block``, and the lengths of the bodies in each block as a range. A block has bodies of
-    similar lengths, BLOCK of them at most; equal lengths are spread over blocks if they are more."""
+            got = []
+            for title, body in zip(x["title"], x["body"], strict=True):
+                title, body = title or "", body or ""
+                lt, lb, kind, bits, counts = article_features(title, body)
+                share = len(body.encode("ascii", "ignore")) / max(1, lb)
+                counts = zlib.compress((title + body).encode("utf-8", "surrogatepass"), 6) if kind else counts
+                got.append((lt, lb, kind, 0 if share < t / 2 - 1e-6 else 2 if share > 1 - t / 2 + 1e-6 else 1, bits, counts))
+            yield pd.DataFrame(got, columns=["lt", "lb", "kind", "zone", "bits", "counts"]).assign(id=x["id"].to_numpy())
+
+    kind = dict(df.dtypes)["id"]
+    return df.select("id", "title", "body").mapInPandas(run, f"lt int, lb int, kind int, zone int, bits binary, counts binary, id {kind}")
+
+
+def _told(x: pd.DataFrame) -> tuple[pd.DataFrame, list[str], list[str]]:
+    """``x`` with the counts of those articles whose text it has, and titles and bodies ('' where it hasn't)."""
+    title, body, counts = [""] * len(x), [""] * len(x), x["counts"].tolist()
+    for k in np.flatnonzero(x["kind"].to_numpy() > 0):
+        text, lt = zlib.decompress(counts[k]).decode("utf-8", "surrogatepass"), x["lt"].iloc[k]
+        title[k], body[k] = text[:lt], text[lt:]
+        counts[k] = article_features(title[k], body[k])[4]
+    return x.assign(counts=counts), title, body
+
+
+def _blocks(df: DataFrame) -> tuple[DataFrame, list[tuple[int, int, int]]]:
+    """``df`` (seq, lb, zone) with ``block``, and of each block its zone and the lengths of its bodies as a range. A block
+    has bodies of one zone and of similar lengths, BLOCK of them at most; equal lengths are spread over blocks if they
+    are more."""
     step = F.floor(F.log(F.col("lb") + 1) / F.log(F.lit(1 + 1 / STEPS)))
     stepped = df.withColumn("_step", step)
-    sizes = sorted((r["_step"], r["n"], r["lo"], r["hi"]) for r in stepped.groupBy("_step").agg(F.count("*").alias("n"), F.min("lb").alias("lo"), F.max("lb").alias("hi")).collect())
-    most = min(BLOCK, max(1_000, sum(n for _, n, _, _ in sizes) // 6))
-    ranges, plan, held = [], [], most
-    for at, n, lo, hi in sizes:
+    counted = stepped.groupBy("zone", "_step").agg(F.count("*").alias("n"), F.min("lb").alias("lo"), F.max("lb").alias("hi"))
+    sizes = sorted((r["zone"], r["_step"], r["n"], r["lo"], r["hi"]) for r in counted.collect())
+    ranges, plan, of = [], [], None
+    for zone, at, n, lo, hi in sizes:
+        if zone != of:
+            most = min(BLOCK, max(1_000, sum(x[2] for x in sizes if x[0] == zone) // 6))
+            of, held = zone, most
         parts = -(-n // most)
         if parts > 1 or held + n > most:
-            ranges += [(lo, hi)] * parts
+            ranges += [(zone, lo, hi)] * parts
             held = n if parts == 1 else most
         else:
-            ranges[-1] = (ranges[-1][0], hi)
+            ranges[-1] = (zone, ranges[-1][1], hi)
             held += n
-        plan.append((at, len(ranges) - parts, parts))
-    places = df.sparkSession.createDataFrame(plan, "_step bigint, _first int, _parts int")
+        plan.append((zone, at, len(ranges) - parts, parts))
+    places = df.sparkSession.createDataFrame(plan, "zone int, _step bigint, _first int, _parts int")
     block = (F.col("_first") + F.pmod(F.xxhash64("seq"), F.col("_parts"))).cast("int")
-    return stepped.join(F.broadcast(places), "_step").withColumn("block", block).drop("_step", "_first", "_parts"), ranges
+    return stepped.join(F.broadcast(places), ["zone", "_step"]).withColumn("block", block).drop("zone", "_step", "_first", "_parts"), ranges
 
 
-def _met(a: pd.DataFrame, b: pd.DataFrame, t: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places in ``a`` and ``b`` (features) of the later and the earlier articles that can be similar."""
+def _met(a: pd.DataFrame, b: pd.DataFrame, t: float, either: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places in ``a`` and ``b`` (features) of the later and the earlier articles that can be similar; with ``either``
+    also those of an earlier one in ``a`` and a later one in ``b``."""
     b = b.sort_values("lb")
     shape = lambda x: (x["seq"].to_numpy(), x["lt"].to_numpy(), x["lb"].to_numpy(), x["kind"].to_numpy(), np.frombuffer(b"".join(x["bits"]), dtype=np.uint64).reshape(len(x), 4))
     (sa, ta, la, ka, wa), (sb, tb, lb, kb, wb) = shape(a), shape(b)
     fa, fb = np.bitwise_xor.reduce(wa, axis=1), np.bitwise_xor.reduce(wb, axis=1)
 
     def counts(x: pd.DataFrame) -> np.ndarray:
-        got = np.zeros((len(x), COUNTS + 2 * RARE), dtype=np.uint8)
+        got = np.zeros((len(x), COUNTS + 2 * RARE if (x["kind"] > 0).any() else LETTERS), dtype=np.uint8)
         for i, c in enumerate(x["counts"]):
             c = zlib.decompress(c)
             got[i, : len(c)] = np.frombuffer(c, dtype=np.uint8)
@@ -152,23 +179,33 @@ def _met(a: pd.DataFrame, b: pd.DataFrame, t: float) -> Iterator[tuple[np.ndarra
     ca, cb = counts(a), counts(b)
     low = np.searchsorted(lb, la * (t / (2 - t)) - 1e-6, "left")
     high = np.searchsorted(lb, la * ((2 - t) / t) + 1e-6, "right")
-    apart, slack = (1 - t) * tb, 1e-6
+    apart, slack = ((1 - t) * tb).astype(np.float32), 1e-4
+    own_apart = ((1 - t) * ta + slack).astype(np.float32)
     for i in range(len(a)):
         own = slice(low[i], high[i])
-        at = np.flatnonzero(np.bitwise_count(fb[own] ^ fa[i]) < apart[own] + ((1 - t) * ta[i] + slack)) + low[i]
-        at = at[sb[at] < sa[i]]
+        at = np.flatnonzero(np.bitwise_count(fb[own] ^ fa[i]) < apart[own] + own_apart[i]) + low[i]
+        at = at if either else at[sb[at] < sa[i]]
         at = at[np.bitwise_count(wb[at] ^ wa[i]).sum(axis=1) < (1 - t) * (tb[at] + ta[i]) + slack]
         for k in range(0, len(at), 4096):
             part = at[k : k + 4096]
             limit = (1 - t) * (lb[part] + la[i]) + slack
-            if ka[i] == 1:
-                begun = np.minimum(cb[part, COUNTS : COUNTS + RARE], ca[i, COUNTS + RARE :]).sum(axis=1, dtype=np.int64)
-                limit = limit + 4 * (np.minimum(begun, limit) + 1)
-            x, y = cb[part, :COUNTS], ca[i, :COUNTS]
-            differ = (np.maximum(x, y) - np.minimum(x, y)).sum(axis=1, dtype=np.int64)
-            keep = part[(differ < limit) | (kb[part] != ka[i]) | (kb[part] == 2)]
-            if len(keep):
-                yield np.full(len(keep), i), b.index.to_numpy()[keep]
+            like = kb[part] == ka[i]
+            keep = ~like | (ka[i] == 2)
+            part_like = part[like]
+            if ka[i] < 2 and len(part_like):
+                limit = limit[like]
+                if ka[i] == 1:
+                    # the second text is the earlier one
+                    begins, letters = (slice(COUNTS, COUNTS + RARE), slice(COUNTS + RARE, COUNTS + 2 * RARE))
+                    begun = np.minimum(cb[part_like, begins], ca[i, letters]).sum(axis=1, dtype=np.int64)
+                    if either:
+                        begun = np.where(sb[part_like] < sa[i], begun, np.minimum(cb[part_like, letters], ca[i, begins]).sum(axis=1, dtype=np.int64))
+                    limit = limit + 4 * (np.minimum(begun, limit) + 1)
+                size = COUNTS if ka[i] else LETTERS
+                x, y = cb[part_like, :size], ca[i, :size]
+                keep[like] = (np.maximum(x, y) - np.minimum(x, y)).sum(axis=1, dtype=np.int64) < limit
+            if keep.any():
+                yield np.full(np.count_nonzero(keep), i), b.index.to_numpy()[part[keep]]
 
 
 def bags_reach(texts: list[str], i: np.ndarray, j: np.ndarray, t: float) -> np.ndarray:
@@ -196,69 +233,133 @@ def bags_reach(texts: list[str], i: np.ndarray, j: np.ndarray, t: float) -> np.n
     return reach
 
 
-@lru_cache(maxsize=1 << 16)
-def title_reaches(a: str, b: str, t: float) -> bool:
-    return ratio(a, b) > t
+def ratios_reach(texts: list[str], i: np.ndarray, j: np.ndarray, t: float) -> np.ndarray:
+    """Whether ``ratio`` of the texts at ``i`` and ``j`` is over ``t``.
+
+    The blocks that ``SequenceMatcher`` finds are found in another order, the widest stretch first, and no more of them
+    than it takes to tell: what is left open can add the shorter side of each stretch at most.
+    """
+    reach, last, matcher = np.zeros(len(i), dtype=bool), -1, SequenceMatcher(None)
+    for k in np.argsort(j, kind="stable"):
+        if j[k] != last:  # the second text is indexed once for all it is held against
+            matcher.set_seq2(texts[j[k]])
+            last = j[k]
+        matcher.set_seq1(texts[i[k]])
+        na, nb = len(texts[i[k]]), len(texts[last])
+        size, matched, left = na + nb, 0, min(na, nb)
+        stretches = [(-left, 0, na, 0, nb)] if left else []
+        while stretches and 2.0 * (matched + left) / size > t >= 2.0 * matched / size:
+            wide, alo, ahi, blo, bhi = heappop(stretches)
+            x, y, n = matcher.find_longest_match(alo, ahi, blo, bhi)
+            left += wide
+            matched += n
+            for rest in ((alo, x, blo, y), (x + n, ahi, y + n, bhi)) if n else ():
+                if shorter := min(rest[1] - rest[0], rest[3] - rest[2]):
+                    heappush(stretches, (-shorter, *rest))
+                    left += shorter
+        reach[k] = (2.0 * matched / size if size else 1.0) > t
+    return reach
+
+
+def texts_reach(title: list[str], body: list[str], i: np.ndarray, j: np.ndarray, t: float) -> np.ndarray:
+    """Whether the titles and the bodies at ``i`` and ``j`` both have a ratio over ``t``; equal texts are held once."""
+    left = np.arange(len(i))
+    for texts, test in ((body, bags_reach), (title, bags_reach), (title, ratios_reach), (body, ratios_reach)):
+        kinds: dict[str, int] = {}
+        used, at = np.unique(np.concatenate([i[left], j[left]]), return_inverse=True)
+        kind = np.array([kinds.setdefault(texts[k], len(kinds)) for k in used], dtype=np.int64)[at]
+        pairs, back = np.unique(kind[: len(left)] * max(1, len(kinds)) + kind[len(left) :], return_inverse=True)
+        left = left[test(list(kinds), pairs // max(1, len(kinds)), pairs % max(1, len(kinds)), t)[back]]
+    return np.isin(np.arange(len(i)), left)
 
 
-def similar_pairs(later: DataFrame, earlier: DataFrame, t: float) -> DataFrame:
+_packed = lambda x: zlib.compress(np.diff(x, prepend=0).astype(np.int64).tobytes(), 1)
+_unpacked = lambda x: np.cumsum(np.frombuffer(zlib.decompress(x), dtype=np.int64))
+
+
+def similar_pairs(later: DataFrame, earlier: DataFrame, t: float, texts: DataFrame | None = None) -> DataFrame:
     """(seq_a, seq_b) of a later and an earlier article whose titles and bodies both have a ratio above ``t``.
 
+    Articles: seq, title, body; or seq and id, with ``texts`` (id, title, body), which then aren't moved to be numbered.
+
     No pair is lost: blocks of articles with bodies of similar lengths meet, and in arrays of their features those are
     left out that can't reach ``t``; the rest are held against the exact ratio. With n letters in both texts, fewer
     than (1 - t) n are in no common block, so counts of letters differ by less. Blocks are no more than those letters
     and one, nor than the letters a block begins at (``SequenceMatcher`` passes over the frequent ones of the second
     text) and the one at the start; each breaks two runs of three, so counts of these differ by less than
     (1 - t) n and four times the blocks. A text's bits and counts are fixed in size, whatever falls together
-    there makes two texts more alike, never less.
+    there makes two texts more alike, never less. Two bodies of which one has less than t / 2 of its letters in ASCII and
+    the other less than t / 2 of its letters not in ASCII have too few in common, so their blocks don't meet.
 
-    The letters of the texts are in one place per pair of blocks, not once per pair.
+    Articles mostly in ASCII meet with their texts and are held where they meet. The letters of the others are in one
+    place per pair of blocks, not once per pair, and only where they have met one.
     """
-    same = later is earlier
-    of = [checkpointed(_featured(x)) for x in ([later] if same else [later, earlier])]
+    same, numbers = later is earlier, None
+    if texts is not None:
+        sides = [x.select("id", "seq", F.lit(k).alias("side")) for k, x in enumerate([later] if same else [later, earlier])]
+        numbers = sides[0].unionByName(sides[-1]) if not same else sides[0]
+        featured = checkpointed(_featured(texts, t).join(numbers, "id").drop("id"))
+        of = [featured.where(F.col("side") == k).drop("side") for k in range(1 if same else 2)]
+    else:
+        of = [checkpointed(_featured(x.withColumnRenamed("seq", "id"), t).withColumnRenamed("id", "seq")) for x in ([later] if same else [later, earlier])]
+        texts = (later if same else later.select("seq", "title", "body").unionByName(earlier.select("seq", "title", "body"))).withColumnRenamed("seq", "id")
     (a, in_a), (b, in_b) = (_blocks(x) for x in (of[0], of[-1]))
-    fits = lambda p, q: p[1] >= q[0] * (t / (2 - t)) - 1e-6 and p[0] <= q[1] * ((2 - t) / t) + 1e-6
+    fits = lambda p, q: abs(p[0] - q[0]) < 2 and p[2] >= q[1] * (t / (2 - t)) - 1e-6 and p[1] <= q[2] * ((2 - t) / t) + 1e-6
     cells = [(i, j) for i, p in enumerate(in_a) for j, q in enumerate(in_b) if (not same or i <= j) and fits(p, q)]
-    tasks = min(2_000, max(1, 2 * len(cells)))
-    cells = later.sparkSession.createDataFrame([(c, i, j) for c, (i, j) in enumerate(cells)], "cell int, i int, j int")
-    place = lambda rows, c: rows.join(F.broadcast(cells.select("cell", F.col(c).alias("block"))), "block").drop("block")
-    left, right = place(a, "i"), place(b, "j")
+    tasks = min(2_000, max(1, 4 * len(cells)))
+    cells = later.sparkSession.createDataFrame([(c, i, j, same and i == j) for c, (i, j) in enumerate(cells)], "cell int, i int, j int, alone boolean")
+    place = lambda rows, c, cells: rows.join(F.broadcast(cells.select("cell", "alone", F.col(c).alias("block"))), "block").drop("block")
+    left, right = place(a, "i", cells), place(b, "j", cells.where("not alone"))  # a block that meets itself is there once
     right = right.toDF(*[f"b_{c}" for c in right.columns])
 
     def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        x, y = x.reset_index(drop=True), y.rename(columns=lambda c: c[2:]).reset_index(drop=True)
-        both = [(x, y)] if not same or x["seq"].isin(y["seq"]).all() else [(x, y), (y, x)]
-        got = [(p["seq"].to_numpy()[i], q["seq"].to_numpy()[j]) for p, q in both if len(p) and len(q) for i, j in _met(p, q, t)]
-        s, r = (np.concatenate([np.zeros(0, dtype=np.int64), *[g[k] for g in got]]) for k in (0, 1))
-        return pd.DataFrame({"cell": np.full(len(s), x["cell"].iloc[0] if len(x) else 0), "a": s, "b": r})
+        cell, alone = (int(x["cell"].iloc[0]), bool(x["alone"].iloc[0])) if len(x) else (0, False)
+        x, title, body = _told(x.reset_index(drop=True))
+        if alone:
+            y, at = x, 0
+        else:
+            y, more, bodies = _told(y.rename(columns=lambda c: c[2:]).reset_index(drop=True))
+            at, title, body = len(x), title + more, body + bodies
+        got = [*_met(x, y, t, same and not alone)] if len(x) and len(y) else []
+        i, j = (np.concatenate([np.zeros(0, dtype=np.int64), *[g[k] for g in got]]) for k in (0, 1))
+        j = j + at
+        seq, kind = (np.concatenate([x[c].to_numpy(), y[c].to_numpy()[: len(y) if at else 0]]) for c in ("seq", "kind"))
+        turn = seq[i] < seq[j]
+        i, j = np.where(turn, j, i), np.where(turn, i, j)
+        here = (kind[i] > 0) & (kind[j] > 0)
+        i, j, rest_i, rest_j = i[here], j[here], i[~here], j[~here]
+        keep = texts_reach(title, body, i, j, t)
+        told = [(cell, held, _packed(p), _packed(q)) for held, p, q in ((True, seq[i[keep]], seq[j[keep]]), (False, seq[rest_i], seq[rest_j])) if len(p)]
+        return pd.DataFrame(told, columns=["cell", "held", "a", "b"])
 
     apart = lambda rows, c: rows.repartition(tasks, c).groupBy(c)  # noqa: E731  no two pairs of blocks in one task for being small
-    met = checkpointed(apart(left, "cell").cogroup(apart(right, "b_cell")).applyInPandas(meet, "cell int, a bigint, b bigint"))
-    side = lambda rows, c: rows.select("seq", "title", "body").join(met.select("cell", F.col(c).alias("seq")).distinct(), "seq")
-    texts = side(later, "a").unionByName(side(earlier, "b")) if not same else later.select("seq", "title", "body").join(met.select("cell", F.explode(F.array("a", "b")).alias("seq")).distinct(), "seq")
+    met = checkpointed(apart(left, "cell").cogroup(apart(right, "b_cell")).applyInPandas(meet, "cell int, held boolean, a binary, b binary"))
 
-    def hold(pairs: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        pairs = pairs.sort_values(["a", "b"])
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in batches:
+            for p, q in zip(x["a"], x["b"], strict=True):
+                yield pd.DataFrame({"seq_a": _unpacked(p), "seq_b": _unpacked(q)})
+
+    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in batches:
+            for at, p, q in zip(x["cell"], x["a"], x["b"], strict=True):
+                for side, seqs in enumerate((_unpacked(p), _unpacked(q))):
+                    yield pd.DataFrame({"seq": np.unique(seqs)}).assign(at=at, side=0 if same else side)
+
+    def hold(told: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        a, b = (np.concatenate([np.zeros(0, dtype=np.int64), *map(_unpacked, told[c])]) for c in ("a", "b"))
         seqs, first = np.unique(held["seq"].to_numpy(), return_index=True)
         title, body = ([x or "" for x in held[c].iloc[first]] for c in ("title", "body"))
-        i, j = np.searchsorted(seqs, pairs["a"].to_numpy()), np.searchsorted(seqs, pairs["b"].to_numpy())
-        for text in (body, title):
-            keep = bags_reach(text, i, j, t)
-            i, j = i[keep], j[keep]
-        order = np.argsort(j, kind="stable")
-        i, j, keep, last = i[order], j[order], np.zeros(len(i), dtype=bool), -1
-        matcher = SequenceMatcher(None)
-        for k, (x, y) in enumerate(zip(i, j, strict=True)):
-            if title_reaches(title[x], title[y], t):
-                if y != last:  # the second text is indexed once for all it is held against
-                    matcher.set_seq2(body[y])
-                    last = y
-                matcher.set_seq1(body[x])
-                keep[k] = matcher.ratio() > t
-        return pd.DataFrame({"seq_a": seqs[i[keep]], "seq_b": seqs[j[keep]]})
-
-    texts = texts.withColumnRenamed("cell", "at")
-    return apart(met, "cell").cogroup(apart(texts, "at")).applyInPandas(hold, "seq_a bigint, seq_b bigint")
+        keep = texts_reach(title, body, np.searchsorted(seqs, a), np.searchsorted(seqs, b), t) if len(a) else np.zeros(0, dtype=bool)
+        return pd.DataFrame({"seq_a": a[keep], "seq_b": b[keep]})
+
+    rest = met.where("not held").drop("held")
+    wanted = rest.mapInPandas(places, "seq bigint, at int, side int")
+    wanted = wanted.join(numbers, ["seq", "side"]) if numbers else wanted.withColumn("id", F.col("seq"))
+    wanted = wanted.groupBy("id").agg(F.collect_set(F.struct("at", "seq")).alias("_at"))
+    letters = texts.select("id", "title", "body").join(wanted, "id").select("title", "body", F.explode("_at").alias("_at")).select("_at.at", "_at.seq", "title", "body")
+    held = apart(rest, "cell").cogroup(apart(letters, "at")).applyInPandas(hold, "seq_a bigint, seq_b bigint")
+    return met.where("held").mapInPandas(pairs, "seq_a bigint, seq_b bigint").unionByName(held)
 
 
 def replay(rows: list[tuple[int, int]], similar: set[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -276,23 +377,26 @@ def replay(rows: list[tuple[int, int]], similar: set[tuple[int, int]]) -> list[t
     return [(k[0], k[2]) for k in kept]
 
 
-def similarity_dedup(articles: DataFrame, t: float = 0.8, priorities: dict[str, int] | None = None) -> DataFrame:
+def similarity_dedup(articles: DataFrame, t: float = 0.8, priorities: dict[str, int] | None = None, texts: DataFrame | None = None) -> DataFrame:
     """(seq, slot) of the articles that survive: greedy in order within each component of similar pairs.
 
-    ``articles``: seq, title, body, source. Articles without a similar one survive.
+    ``articles``: seq, title, body, source, or seq, id, source with ``texts`` (id, title, body). Articles without a
+    similar one survive.
     """
-    pairs = checkpointed(similar_pairs(articles, articles, t))
+    pairs = checkpointed(similar_pairs(articles, articles, t, texts))
     parts = components(pairs, "seq_a", "seq_b")
     prio = articles.select("seq", T.source_priority(F.col("source"), priorities).alias("prio"))
     left = pairs.join(parts.select(F.col("node").alias("seq_a"), "component"), "seq_a").join(prio.select(F.col("seq").alias("seq_a"), F.col("prio").alias("prio_a")), "seq_a")
     left = left.join(prio.select(F.col("seq").alias("seq_b"), F.col("prio").alias("prio_b")), "seq_b")
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        rows = {*zip(part["seq_a"], part["prio_a"], strict=True), *zip(part["seq_b"], part["prio_b"], strict=True)}
-        got = replay([(int(s), int(p)) for s, p in rows], {(int(a), int(b)) for a, b in zip(part["seq_a"], part["seq_b"], strict=True)})
+    def run(parts: pd.DataFrame) -> pd.DataFrame:
+        got = []
+        for _, part in parts.groupby("component"):
+            rows = {*zip(part["seq_a"], part["prio_a"], strict=True), *zip(part["seq_b"], part["prio_b"], strict=True)}
+            got += replay([(int(s), int(p)) for s, p in rows], {(int(a), int(b)) for a, b in zip(part["seq_a"], part["seq_b"], strict=True)})
         return pd.DataFrame(got, columns=["seq", "slot"])
 
-    kept = left.groupBy("component").applyInPandas(run, "seq bigint, slot bigint")
+    kept = left.groupBy(F.pmod(F.xxhash64("component"), F.lit(4096)).alias("_p")).applyInPandas(run, "seq bigint, slot bigint")
     alone = articles.select("seq").join(parts.select(F.col("node").alias("seq")), "seq", "left_anti")
     return kept.unionByName(alone.select("seq", F.col("seq").alias("slot")))
 
@@ -312,13 +416,14 @@ def named_ref(player: Column, candidate: Column, name: Column) -> Column:
     return F.coalesce(player, F.concat(F.lit("c:"), candidate), F.concat(F.lit("n:"), name))
 
 
-def against_stored(incoming: DataFrame, stored: DataFrame, t: float = 0.8, priorities: dict[str, int] | None = None) -> DataFrame:
+def against_stored(incoming: DataFrame, stored: DataFrame, t: float = 0.8, priorities: dict[str, int] | None = None, texts: DataFrame | None = None) -> DataFrame:
     """(seq, action, stored_seq) of each incoming article: 'new', 'update' of the first stored article it is similar to if
     its source has the better priority, else 'drop'.
 
-    Both: seq, title, body, source; the stored ones are numbered before the incoming ones, in their order.
+    Both: seq, title, body, source, or seq, id, source with ``texts`` (id, title, body); the stored ones are numbered
+    before the incoming ones, in their order.
     """
-    first = similar_pairs(incoming, stored, t).groupBy("seq_a").agg(F.min("seq_b").alias("stored_seq"))
+    first = similar_pairs(incoming, stored, t, texts).groupBy("seq_a").agg(F.min("seq_b").alias("stored_seq"))
     prio = lambda df, x: df.select(F.col("seq").alias(x), T.source_priority(F.col("source"), priorities).alias(f"{x}_prio"))
     told = prio(incoming, "seq").join(first.withColumnRenamed("seq_a", "seq"), "seq", "left").join(prio(stored, "stored_seq"), "stored_seq", "left")
     action = F.when(F.col("stored_seq").isNull(), "new").when(F.col("seq_prio") < F.col("stored_seq_prio"), "update").otherwise("drop")

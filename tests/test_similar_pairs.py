@@ -62,3 +62,37 @@ def test_texts_meet_once_per_pair_of_blocks(spark):
     df = spark.createDataFrame(rows, "seq bigint, title string, body string")
     plan = dedup.similar_pairs(df.where("seq >= 30"), df.where("seq < 30"), 0.8)
     assert plan.count() == 900 and "text_a" not in (told := plan._jdf.queryExecution().optimizedPlan().toString()) and "a_body" not in told
+
+
+def test_ratios_reach_as_ratio():
+    rows = [b for _, _, b in _articles()] + [t for _, t, _ in _articles()[:3]]
+    i, j = (pd.Series(x).to_numpy() for x in zip(*[(i, j) for i in range(len(rows)) for j in range(0, len(rows), 3)], strict=True))
+    for t in (0.3, 0.7, 0.8):
+        assert dedup.ratios_reach(rows, i, j, t).tolist() == [dedup.ratio(rows[a], rows[b]) > t for a, b in zip(i, j, strict=True)]
+
+
+def test_exact_check_of_unlike_articles_of_one_title_ends_early(monkeypatch):
+    r, found = random.Random(13), []
+
+    class Counted(dedup.SequenceMatcher):
+        def find_longest_match(self, *at):
+            found.append(at)
+            return super().find_longest_match(*at)
+
+    words = ["".join(r.choice("aeiounrstlmhd") for _ in range(r.randint(2, 8))) for _ in range(60)]
+    body = lambda: ". ".join(" ".join(r.choice(words) for _ in range(12)).capitalize() for _ in range(15))
+    bodies = [body() for _ in range(12)]
+    i, j = (pd.Series(x).to_numpy() for x in zip(*[(i, j) for i in range(12) for j in range(i)], strict=True))
+    monkeypatch.setattr(dedup, "SequenceMatcher", Counted)
+    assert not dedup.texts_reach(["Notebook: range at a park"] * 12, bodies, i, j, 0.8).any() and len(found) < 8 * len(i)
+
+
+def test_texts_by_id_in_blocks_of_either_script(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "BLOCK", 20)
+    rows = [(i, t, b if i % 4 else b + b[:20] + "投手と打者の話。" * (i % 9)) for i, t, b in _articles()] + [(88, None, None), (89, None, "")]
+    texts = spark.createDataFrame([(f"k{i}", t, b) for i, t, b in rows], "id string, title string, body string")
+    numbers = spark.createDataFrame([(i, f"k{i}") for i, _, _ in rows], "seq bigint, id string")
+    want = {(a[0], b[0]) for a in rows for b in rows if a[0] > b[0] and dedup.ratio(a[1], b[1]) > 0.7 and dedup.ratio(a[2], b[2]) > 0.7}
+    assert sorted(tuple(x) for x in dedup.similar_pairs(numbers, numbers, 0.7, texts).collect()) == sorted(want)
+    later, earlier = numbers.where("seq % 2 = 0"), numbers.where("seq % 2 = 1")
+    assert sorted(tuple(x) for x in dedup.similar_pairs(later, earlier, 0.7, texts).collect()) == sorted((a, b) for a, b in want if a % 2 == 0 and b % 2 == 1)
