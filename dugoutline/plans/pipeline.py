@@ -11,7 +11,7 @@ from dugoutline.functions import values as V
 from dugoutline.operators import dedup, links, promote, roster, signals, topics
 from dugoutline.plans import adapt as A
 from dugoutline.plans import sql as S
-from dugoutline.plans.catalog import _GATE, _ROWS, REF, _attention, _seq_articles, day, query
+from dugoutline.plans.catalog import _GATE, _ROWS, REF, _attention, _seq_numbers, day, query
 from dugoutline.session import table
 from dugoutline.sources import pages, store
 
@@ -90,10 +90,10 @@ def upsert_required_titles(spark, d):
 @query()
 def incoming_vs_stored(spark, d):
     """The later half of the articles against the earlier one: new, update of a stored one, or dropped."""
-    a = _seq_articles(spark, d)
+    a = _seq_numbers(spark, d)
     half = a.agg(F.percentile_approx("seq", 0.5).alias("_h"))
     sided = a.join(F.broadcast(half), F.lit(True))
-    return dedup.against_stored(sided.where("seq > _h").drop("_h"), sided.where("seq <= _h").drop("_h"), 0.8, V.TEST_PRIORITIES)
+    return dedup.against_stored(sided.where("seq > _h").drop("_h"), sided.where("seq <= _h").drop("_h"), 0.8, V.TEST_PRIORITIES, A.articles(spark, d))
 
 
 # --- names and people -------------------------------------------------------------------------------------

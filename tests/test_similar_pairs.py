@@ -3,6 +3,7 @@ import random
 import pandas as pd
 import pytest
 from dugoutline.operators import dedup
+from dugoutline.plans import pipeline
 
 
 def _features(rows):
@@ -96,3 +97,11 @@ def test_texts_by_id_in_blocks_of_either_script(spark, monkeypatch):
     assert sorted(tuple(x) for x in dedup.similar_pairs(numbers, numbers, 0.7, texts).collect()) == sorted(want)
     later, earlier = numbers.where("seq % 2 = 0"), numbers.where("seq % 2 = 1")
     assert sorted(tuple(x) for x in dedup.similar_pairs(later, earlier, 0.7, texts).collect()) == sorted((a, b) for a, b in want if a % 2 == 0 and b % 2 == 1)
+
+
+def test_bodies_are_not_moved_to_be_numbered(spark, monkeypatch, tmp_path):
+    rows = [(str(i), "s", t, b, None) for i, t, b in _articles()]
+    spark.createDataFrame(rows, "id string, source string, title string, body string, created_at timestamp").write.parquet(str(tmp_path / "crawled_articles.parquet"))
+    seen, held = [], dedup.similar_pairs
+    monkeypatch.setattr(dedup, "similar_pairs", lambda a, b, *rest: seen.extend([*a.columns, *b.columns]) or held(a, b, *rest))
+    assert pipeline.incoming_vs_stored(spark, str(tmp_path)).count() == 44 and "seq" in seen and "body" not in seen
